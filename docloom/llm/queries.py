@@ -6,6 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Items of fewer than five words, of which the tables have none, are left to the tests.
+OP1 = r"""
+with shingles as (
+  select distinct kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+  from (
+    select 'd' as kind, doc_id as id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents
+    union all
+    select 'b', item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') from benchmark
+  ) where len(w) >= 5
+), sizes as (select id, count(*) as n from shingles where kind = 'b' group by id)
+select d.id as doc_id, b.id as item_id, cast(any_value(n) as int) as item_shingles, cast(count(*) as int) as shared, count(*) / any_value(n) as containment
+from shingles b join shingles d on d.s = b.s and d.kind = 'd' join sizes on sizes.id = b.id
+where b.kind = 'b' group by d.id, b.id having count(*) >= 0.8 * any_value(n) - 1e-9
+"""
+
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -13,6 +28,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_contaminated
+
+    return find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, score_quality
+
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
 
@@ -30,4 +58,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": OP1}
