@@ -24,6 +24,8 @@ BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 
 
 class Rule(NamedTuple):
+    """The keyword is one or more whole words that every match holds."""
+
     label: str
     keyword: str
     pattern: str
@@ -36,8 +38,9 @@ NAMES = """
 apache-2.0 ; apache ; apache (software )?license( version)? 2( 0)?
 apache-1.1 ; apache ; apache (software )?license( version)? 1 1
 apache ; apache ; apache (software )?license
-mit ; mit ; mit( x11)? license
-mit-0 ; mit ; mit no attribution( license)?
+mit ; mit license ; mit license
+mit ; x11 license ; mit x11 license
+mit-0 ; mit no attribution ; mit no attribution( license)?
 bsd-2-clause ; bsd ; (2 clause|two clause|simplified|freebsd) bsd( license)?
 bsd-2-clause ; bsd ; bsd (2 clause|two clause|simplified)( license)?
 bsd-3-clause ; bsd ; (3 clause|three clause|new|modified|revised) bsd( license)?
@@ -49,7 +52,7 @@ agpl ; affero ; (gnu )?affero general public license
 lgpl-2.1 ; lesser ; (gnu )?lesser general public license( version)? 2 1
 lgpl-3.0 ; lesser ; (gnu )?lesser general public license( version)? 3( 0)?
 lgpl ; lesser ; (gnu )?lesser general public license
-lgpl-2.0 ; library ; (gnu )?library general public license
+lgpl-2.0 ; library general ; (gnu )?library general public license
 gpl-2.0 ; general public ; (gnu )?general public license( version)? 2( 0)?
 gpl-3.0 ; general public ; (gnu )?general public license( version)? 3( 0)?
 gpl ; general public ; (gnu )?general public license
@@ -57,33 +60,33 @@ gfdl ; documentation ; (gnu )?free documentation license
 mpl-1.1 ; mozilla ; mozilla public license( version)? 1 1
 mpl-2.0 ; mozilla ; mozilla public license( version)? 2( 0)?
 mpl ; mozilla ; mozilla public license
-epl-1.0 ; eclipse ; eclipse public license( version| v)? 1( 0)?
+epl-1.0 ; eclipse public ; eclipse public license( version| v)? 1( 0)?
 epl-2.0 ; eclipse ; eclipse public license( version| v)? 2( 0)?
 epl ; eclipse ; eclipse public license
-cddl ; distribution ; common development and distribution license
+cddl ; distribution license ; common development and distribution license
 cpl ; common ; common public license
 eupl ; european ; european union public licen[cs]e
-isc ; isc ; isc license
+isc ; isc license ; isc license
 zlib ; zlib ; zlib( libpng)? license
 bsl-1.0 ; boost ; boost software license
-artistic ; artistic ; artistic license
+artistic ; artistic license ; artistic license
 unlicense ; unlicense ; (the )?unlicense
 wtfpl ; wtfpl ; wtfpl
-psf ; python ; python software foundation license
-php ; php ; php license
-ruby ; ruby ; ruby license
-perl ; perl ; same terms as perl( itself)?
+psf ; python software ; python software foundation license
+php ; php license ; php license
+ruby ; ruby license ; ruby license
+perl ; terms as perl ; same terms as perl( itself)?
 openssl ; openssl ; openssl license
 postgresql ; postgresql ; postgresql license
-ofl-1.1 ; open font ; (sil )?open font license
-odbl ; database ; open (data commons )?(open )?database license
+ofl-1.1 ; font license ; (sil )?open font license
+odbl ; database license ; open (data commons )?(open )?database license
 cc0 ; cc0 ; cc0
-cc0 ; zero ; creative commons zero
-cc-by-nc-nd ; nc ; cc by nc nd
-cc-by-nc-sa ; nc ; cc by nc sa
-cc-by-nc ; nc ; cc by nc
-cc-by-nd ; nd ; cc by nd
-cc-by-sa ; sa ; cc by sa
+cc0 ; commons zero ; creative commons zero
+cc-by-nc-nd ; cc by ; cc by nc nd
+cc-by-nc-sa ; cc by ; cc by nc sa
+cc-by-nc ; cc by ; cc by nc
+cc-by-nd ; cc by ; cc by nd
+cc-by-sa ; cc by ; cc by sa
 cc-by ; cc by ; cc by
 cc-by-nc-nd ; creative commons ; creative commons attribution non ?commercial no ?deriv(s|atives)
 cc-by-nc-sa ; creative commons ; creative commons attribution non ?commercial share ?alike
@@ -111,8 +114,9 @@ copyright ; copyright ; copyright( c)? (19|20)[0-9]{2}( (19|20)[0-9]{2})? ; 0.6
 mit-text ; free of charge ; permission is hereby granted free of charge to any person obtaining a copy ; 0.95
 isc-text ; permission ; permission to use copy modify and or distribute this software for any purpose ; 0.95
 bsd-text ; redistribution ; redistribution and use in source and binary forms with or without modification are permitted ; 0.95
-warranty ; warrant ; without (any )?warrant(y|ies) ; 0.5
-warranty ; as is ; provided as is ; 0.5
+warranty ; warranty ; without (any )?warranty ; 0.5
+warranty ; warranties ; without (any )?warranties ; 0.5
+warranty ; provided as is ; provided as is ; 0.5
 gpl-text ; free software ; this program is free software you can redistribute it and or modify it ; 0.95
 public-domain ; domain ; (dedicated|released) (in)?to the public domain ; 0.9
 no-derivatives ; reproduced ; (may not|must not) be reproduced( in any form)? ; 0.6
@@ -133,14 +137,8 @@ def rule_table() -> list[Rule]:
 
 
 def words_joined(text: Column) -> Column:
-    """The words of a text with one space before, between and after them; no words give one space."""
-    inner = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ")
-    return F.concat(F.lit(" "), F.trim(inner), F.lit(" "))
-
-
-def word_count(joined: Column) -> Column:
-    inner = F.trim(joined)
-    return F.when(inner == "", F.lit(0)).otherwise(F.length(inner) - F.length(F.replace(inner, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """The words of a text, as they are written, joined by single spaces."""
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
 
 
 def phrase_starts(tokens: Column, phrase: str) -> Column:
@@ -153,15 +151,21 @@ def phrase_starts(tokens: Column, phrase: str) -> Column:
 
 def _detections(joined: Column, rules: Sequence[Rule]) -> Column:
     """All places of all rules whose keyword occurs, as structs (start, -end, priority, order, label, weight)."""
-    table = F.array(*[F.struct(F.lit(r.keyword).alias("keyword"), F.lit(f"(?<= ){r.pattern}(?= )").alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(i).alias("order"), F.lit(r.label).alias("label"), F.lit(r.weight).alias("weight")) for i, r in enumerate(rules)])
-    live = F.filter(table, lambda r: joined.contains(r["keyword"]))
+    by_keyword: dict[str, list[Column]] = {}
+    for i, r in enumerate(rules):
+        fields = (("pattern", f"(?<= ){r.pattern}(?= )"), ("priority", r.priority), ("order", i), ("label", r.label), ("weight", r.weight))
+        by_keyword.setdefault(f" {r.keyword} ", []).append(F.struct(*[F.lit(v).alias(k) for k, v in fields]))
+    table = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*own).alias("rules")) for k, own in by_keyword.items()])
+    live = F.flatten(F.transform(F.filter(table, lambda k: joined.contains(k["keyword"])), lambda k: k["rules"]))
+
+    fields = ("pattern", "priority", "order", "label", "weight")
+    tried = F.transform(live, lambda r: F.struct(*[r[k].alias(k) for k in fields], F.regexp_extract_all(joined, r["pattern"], F.lit(0)).alias("found")))
+    hits = F.filter(tried, lambda r: F.size(r["found"]) > 0)
+    cut = F.transform(hits, lambda r: F.struct(*[r[k].alias(k) for k in (*fields, "found")], F.split(joined, r["pattern"]).alias("gaps")))
 
     def places(r: Column) -> Column:
-        found = F.regexp_extract_all(joined, r["pattern"], F.lit(0))
-        rest = F.split(joined, r["pattern"])
-        sizes = F.zip_with(F.slice(rest, 1, F.size(found)), found, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")))
+        sizes = F.zip_with(F.slice(r["gaps"], 1, F.size(r["found"])), r["found"], lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")))
         empty = F.array().cast("array<struct<start:int,less_end:int,priority:int,order:int,label:string,weight:double>>")
-        start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
         def add(acc: Column, s: Column) -> Column:
             begin = acc["at"] + s["gap"]
@@ -169,9 +173,9 @@ def _detections(joined: Column, rules: Sequence[Rule]) -> Column:
             one = F.struct(begin.alias("start"), (-end).alias("less_end"), r["priority"].alias("priority"), r["order"].alias("order"), r["label"].alias("label"), r["weight"].alias("weight"))
             return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-        return F.when(F.size(found) > 0, F.aggregate(sizes, start, add, lambda acc: acc["out"])).otherwise(empty)
+        return F.aggregate(sizes, F.struct(F.lit(0).alias("at"), empty.alias("out")), add, lambda acc: acc["out"])
 
-    return F.array_sort(F.flatten(F.transform(live, places)))
+    return F.array_sort(F.flatten(F.transform(cut, places)))
 
 
 def _surviving(detections: Column) -> Column:
@@ -205,10 +209,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     score is one less the product of (1 - weight) over the distinct labels that the rules found.
     """
     rules = rule_table() if rules is None else rules
-    gate = "|".join(sorted({r.keyword for r in rules} | {phrase for phrase, _ in BASE}))
-    joined = docs.select(F.col(id_col), words_joined(F.col(text_col)).alias("cased")).withColumn("n_words", word_count(F.col("cased")))
-    gated = joined.withColumn("joined", F.when(F.col("cased").rlike(f"(?i)({gate})"), F.translate("cased", UPPER, LOWER)))
-    tokens = F.split(F.trim("joined"), " ")
+    triggers = sorted({max(k.split(), key=len) for k in [r.keyword for r in rules] + [phrase for phrase, _ in BASE]})
+    joined = docs.select(F.col(id_col), words_joined(F.col(text_col)).alias("cased"))
+    # lower() also folds other letters, so that this gate lets through all texts that the exact mapping below can match
+    split = joined.withColumn("words", F.split(F.lower("cased"), " "))
+    counted = split.withColumn("n_words", F.when(F.col("cased") == "", F.lit(0)).otherwise(F.size("words")).cast("long"))
+    gated = counted.withColumn("joined", F.when(F.arrays_overlap("words", F.array(*map(F.lit, triggers))), F.concat(F.lit(" "), F.translate("cased", UPPER, LOWER), F.lit(" "))))
+    gated = gated.withColumn("tokens", F.split(F.trim("joined"), " "))  # a column, so that lambdas below don't split anew for each word
+    tokens = F.col("tokens")
     hits = [F.when(F.contains(F.col("joined"), F.lit(f" {phrase} ")), phrase_starts(tokens, phrase)).otherwise(F.array().cast("array<int>")) for phrase, _ in BASE]
     found = gated.withColumn("starts", F.when(F.col("joined").isNotNull(), F.array(*hits)))
     scanned = found.withColumn("seen", F.when(F.col("joined").isNotNull(), _surviving(_detections(F.col("joined"), rules))))
