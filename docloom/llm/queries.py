@@ -47,6 +47,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bagminhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urls import filter_urls
 
