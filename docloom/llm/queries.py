@@ -34,6 +34,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepieces import encode_column
+
+    return encode_column(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).drop("text")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import fit, score_quality
 
