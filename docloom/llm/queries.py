@@ -47,6 +47,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumnsRenamed({"__lines": "n_lines", "__dropped": "n_dropped"})
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
 
