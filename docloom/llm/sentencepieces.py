@@ -127,17 +127,7 @@ class Encoder:
         keys = [(p, i) for p, i in vocabulary.index.items()]
         points, bounds = tk.codes([p for p, _ in keys])
         hashes = tk.hash_spans(points, bounds[:-1], bounds[1:] - 1)
-        # an open-addressed table of piece hashes: two probes of numpy instead of a dictionary
-        self.bits = max(4, int(16 * len(keys)).bit_length())
-        table, value = np.zeros(1 << self.bits, U), np.full(1 << self.bits, -1, np.int32)
-        self.probes = 1
-        for h, (_, i) in zip(hashes.tolist(), keys, strict=True):
-            at, n = h >> (64 - self.bits), 1
-            while value[at] >= 0:
-                at, n = (at + 1) & ((1 << self.bits) - 1), n + 1
-            table[at], value[at] = h, i
-            self.probes = max(self.probes, n)
-        self.table, self.value = table, value
+        self.table = tk.HashTable(hashes, np.array([i for _, i in keys]))
         self.score = np.append(vocabulary.scores, -np.inf)
         self.forget()
 
@@ -146,15 +136,6 @@ class Encoder:
         self.aged = self.known
         self.deviations: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
 
-    def _lookup(self, hashes: np.ndarray) -> np.ndarray:
-        at = (hashes >> U(64 - self.bits)).astype(np.int64)
-        out = np.full(len(hashes), -1, np.int32)
-        for _ in range(self.probes):
-            hit = self.table[at] == hashes
-            out[hit] = self.value[at[hit]]
-            at = (at + 1) & ((1 << self.bits) - 1)
-        return out
-
     def learn(self, units: Sequence[str]) -> None:
         """Segment units that are not known yet; units not seen for long are forgotten."""
         if len(self.known) > REMEMBER:
@@ -192,7 +173,7 @@ class Encoder:
             rows = np.flatnonzero(lengths >= end)
             for size in range(1, min(end, self.v.longest) + 1):
                 b, e = first[rows] + end - size, first[rows] + end
-                found = self._lookup(tk.mix((sums[e] - sums[b]) * inverse[b] + U(size * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)))
+                found = self.table.find(tk.mix((sums[e] - sums[b]) * inverse[b] + U(size * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)))
                 score = self.score[found]
                 if size == 1:
                     for r in np.flatnonzero(found < 0):

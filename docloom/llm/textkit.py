@@ -106,3 +106,28 @@ def pieces(texts: Sequence[str], most_chars: int = 1_000_000, most_texts: int =
 def text_list(column) -> list[str]:
     """An Arrow string column as a list; null is the empty text."""
     return [t or "" for t in column.to_pylist()]
+
+
+class HashTable:
+    """64-bit hashes to small whole numbers by open addressing; a lookup is a few numpy operations."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(4, int(16 * len(hashes)).bit_length())
+        self.keys, self.values = np.zeros(1 << self.bits, U), np.full(1 << self.bits, -1, np.int32)
+        self.probes = 1
+        for h, v in zip(hashes.tolist(), values.tolist(), strict=True):
+            at, n = h >> (64 - self.bits), 1
+            while self.values[at] >= 0:
+                at, n = (at + 1) & ((1 << self.bits) - 1), n + 1
+            self.keys[at], self.values[at] = h, v
+            self.probes = max(self.probes, n)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Values, -1 for hashes that aren't there."""
+        at = (hashes >> U(64 - self.bits)).astype(np.int64)
+        out = np.full(len(hashes), -1, np.int32)
+        for _ in range(self.probes):
+            hit = self.keys[at] == hashes
+            out[hit] = self.values[at[hit]]
+            at = (at + 1) & ((1 << self.bits) - 1)
+        return out
