@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .linking import link_buckets
+from .linking import connected_components, link_buckets
 from .workspace import Workspace, ship
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair of similarity 0.8 shares no band with a probability of (1 - 0.8 ** 5) ** 25, one in twenty thousand.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
+#: Texts on either side of a task that compares what is left of large buckets.
+BLOCK = 400
 U = np.uint64
 
 
@@ -174,6 +176,61 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(b.columns[:2], ["a", "b"]).filter(pa.array(keep))
 
 
+def _compare(left_texts: Sequence[str], right_texts: Sequence[str], left_comp: np.ndarray, right_comp: np.ndarray) -> set[tuple[int, int]]:
+    """Pairs of different components that a text of the left and one of the right link, by the exact similarity."""
+
+    def gathered(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        parts = [(h, o + part.start, c) for part in tk.pieces(texts, 300_000) for h, o, c, _, _ in [shingle_counts(texts[part])]]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    lh, lo, lc = gathered(left_texts)
+    rh, ro, rc = gathered(right_texts)
+    order = np.argsort(rh, kind="stable")
+    rh, ro, rc = rh[order], ro[order], rc[order]
+    totals = np.bincount(ro, rc, len(right_texts))
+    order = np.argsort(lo, kind="stable")
+    lh, lc, cuts = lh[order], lc[order], np.searchsorted(lo[order], np.arange(len(left_texts) + 1))
+    links: set[tuple[int, int]] = set()
+    for i in range(len(left_texts)):
+        h, c = lh[cuts[i] : cuts[i + 1]], lc[cuts[i] : cuts[i + 1]]
+        begin, n = np.searchsorted(rh, h), np.searchsorted(rh, h, "right")
+        n = n - begin
+        at = np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
+        shared = np.bincount(ro[at], np.minimum(np.repeat(c, n), rc[at]), len(right_texts))
+        linked = (shared >= (THRESHOLD - 1e-12) * (c.sum() + totals - shared)) & (shared > 0) & (right_comp != left_comp[i])
+        links.update((int(left_comp[i]), int(x)) for x in np.unique(right_comp[linked]))
+    return links
+
+
+def _exhaust(ws: Workspace, texts: DataFrame, rest: DataFrame) -> DataFrame:
+    """Links between components, from all members (key, id, comp) of the buckets that hold several.
+
+    Buckets that share members form a cluster. All members outside a cluster's largest component are compared with the whole cluster, in blocks of
+    bounded size: n members of which u are outside give u * n / BLOCK rows to the tasks, instead of u * n pairs.
+    """
+    stars = rest.join(rest.groupBy("key").agg(F.min("id").alias("b")), "key").select(F.col("id").alias("a"), "b")
+    clusters = connected_components(ws, stars).select("id", F.col("label").alias("cluster"))
+    docs = ws.save(rest.select("id", "comp").distinct().join(clusters, "id"), "clusters")
+    sizes = docs.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("cluster").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
+    plan = main.select("cluster", F.col("top.comp").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("outer")).where("outer > 0")
+    held = docs.join(plan, "cluster").join(texts.withColumnRenamed("doc_id", "id"), "id")
+    held = ws.save(held.withColumn("deal", F.xxhash64("id")), "held")
+    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = held.where("comp != main").select("cluster", F.pmod("deal", "outer").cast("int").alias("x"), span("blocks").alias("y"), "comp", "text")
+    right = held.select("cluster", span("outer").alias("x"), F.pmod("deal", "blocks").cast("int").alias("y"), "comp", "text")
+    right = right.toDF(*right.columns)
+
+    def run(one, two):
+        import pandas as pd
+
+        links = _compare(one["text"].tolist(), two["text"].tolist(), one["comp"].to_numpy(), two["comp"].to_numpy()) if len(one) and len(two) else ()
+        return pd.DataFrame(sorted(links), columns=["a", "b"], dtype="int64")
+
+    keys = ("cluster", "x", "y")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, group_id, group_size, kept): class_id is the smallest doc_id with the same words."""
     spark = docs.sparkSession
@@ -187,7 +244,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     busy = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = ws.save(banded.join(busy, "key", "left_semi").withColumn("p", F.lit(None).cast("bigint")), "members")
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    # a doc_id that stands on several texts is represented by the one of its smallest hash pair; see the docstring of heads
     texts = ws.save(source.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -195,7 +251,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         two = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         return two.select("a", "b", "ta", "tb").mapInArrow(_verify, "a bigint, b bigint")
 
-    labels = link_buckets(ws, members, verify)
+    labels = link_buckets(ws, members, verify, exhaust=lambda rest: _exhaust(ws, texts, rest))
     grouped = classes.join(labels.select(F.col("id").alias("class_id"), "label"), "class_id", "left").select("k1", "k2", "class_id", "n", F.coalesce("label", "class_id").alias("group_id"))
     sizes = grouped.groupBy("group_id").agg(F.sum("n").alias("group_size"))
     known = grouped.join(sizes, "group_id").select("k1", "k2", "class_id", "group_id", "group_size")

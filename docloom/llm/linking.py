@@ -32,13 +32,15 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
             return labels.select("id", "label")
 
 
-def link_buckets(ws: Workspace, members: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable[[Column, Column], Column] | None = None, star_rounds: int = 2) -> DataFrame:
+def link_buckets(ws: Workspace, members: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable[[Column, Column], Column] | None = None, exhaust: Callable[[DataFrame], DataFrame] | None = None, star_rounds: int = 2) -> DataFrame:
     """(id, label) of ids that verified links connect, given members (key, id, p) of the buckets.
 
     verify takes distinct candidates (a, b) with a < b and returns those that are links; near, if given, is a condition on the
     payloads p of the two. Only links between different components change the result. So each bucket's members are
     first compared with one member, then with others drawn by hash, and at last all pairs that still stand in different
     components of a bucket are compared, without a cap. A group of n copies thus costs about n comparisons, not n * n.
+
+    exhaust, if given, does this last part: from (key, id, comp) of the buckets with several components it returns the links as (a, b) of components.
     """
     labels: DataFrame | None = None
     for r in range(star_rounds + 1):
@@ -47,6 +49,10 @@ def link_buckets(ws: Workspace, members: DataFrame, verify: Callable[[DataFrame]
             own = members.join(labels, "id", "left").select("key", "id", "p", F.coalesce("label", "id").alias("comp"))
             mixed = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
             own = own.join(mixed, "key", "left_semi")
+        if r == star_rounds and exhaust is not None:
+            links = ws.save(exhaust(ws.save(own.select("key", "id", "comp"), "rest")), "links")
+            labels = labels if links.isEmpty() else _relabelled(ws, labels, connected_components(ws, links))
+            break
         if r < star_rounds:
             rank = F.col("id") if r == 0 else F.xxhash64("id", "key", F.lit(r))
             other = own.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "id", "p", "comp")).alias("c")).select("key", F.col("c.id").alias("id2"), F.col("c.p").alias("p2"), F.col("c.comp").alias("comp2"))
@@ -66,12 +72,15 @@ def link_buckets(ws: Workspace, members: DataFrame, verify: Callable[[DataFrame]
             continue
         merged = connected_components(ws, links)
         ws.drop(links)
-        if labels is None:
-            labels = merged
-        else:
-            old = labels.join(merged.select(F.col("id").alias("label"), F.col("label").alias("new")), "label", "left").select("id", F.coalesce("new", "label").alias("label"))
-            fresh = merged.join(labels, "id", "left_anti")
-            labels = ws.save(old.unionByName(fresh), "labels")
+        labels = _relabelled(ws, labels, merged)
     if labels is None:
         return members.select("id", F.col("id").alias("label")).limit(0)
     return labels
+
+
+def _relabelled(ws: Workspace, labels: DataFrame | None, merged: DataFrame) -> DataFrame:
+    """Labels of all ids, given those so far and the new labels of components."""
+    if labels is None:
+        return merged
+    old = labels.join(merged.select(F.col("id").alias("label"), F.col("label").alias("new")), "label", "left").select("id", F.coalesce("new", "label").alias("label"))
+    return ws.save(old.unionByName(merged.join(labels, "id", "left_anti")), "labels")
