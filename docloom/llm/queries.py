@@ -60,6 +60,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_graph import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bagminhash import near_duplicates
 
