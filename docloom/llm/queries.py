@@ -47,6 +47,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii, fit
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_pii(docs, fit(docs))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
