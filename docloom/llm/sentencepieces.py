@@ -23,6 +23,7 @@ import heapq
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,9 @@ class Vocabulary:
     def __post_init__(self) -> None:
         self.index = {p: i for i, p in enumerate(self.pieces) if self.usable[i]}
         self.longest = max(map(len, self.index), default=1)
-        plain = self.scores[self.usable & (self.scores > -1e8)]  # scores below that mark pieces that are never to be preferred
+        plain = self.scores[self.usable & (self.scores > -1e8)]
         self.penalty = float(plain.min()) - 10.0 if len(plain) else -10.0
+        self.scores = np.where(self.scores > -1e8, self.scores, self.penalty)  # some models mark space runs by a score far below all others
         if any(MARK in p.lstrip(MARK) for p in self.index):
             raise ValueError("a piece holds a space mark after another character")
 
@@ -291,22 +293,24 @@ def encode_column(docs: DataFrame, model_path: str, n: int = NBEST, text_col: st
     at = source.columns.index(text_col)
     schema = source.withColumns({c.split()[0]: F.lit(None).cast(c.split()[1]) for c in added.split(", ")}).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model_path not in _encoders:
-            _encoders[model_path] = (Encoder(vocabulary), decoder(vocabulary))
-        encoder, back = _encoders[model_path]
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                b = batch.slice(begin, 1000)
-                texts = tk.text_list(b.column(at))
-                ids, scores, same = [], [], []
-                for text, (own, ranked, _) in zip(texts, encoder.encode(texts, n), strict=True):
-                    ids.append(own)
-                    scores.append(ranked)
-                    same.append(back(own.tolist()) == text)
-                sizes = np.array([len(x) for x in ids], np.int32)
-                offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes), lists, pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], [*source.columns, *new])
-
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(partial(_encode_batches, vocabulary, model_path, n, at, [*source.columns, *new]), schema)
+
+
+def _encode_batches(vocabulary: Vocabulary, name: str, n: int, at: int, columns: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A function of the module, so that a Python worker keeps its encoder from task to task."""
+    if name not in _encoders:
+        _encoders[name] = (Encoder(vocabulary), decoder(vocabulary))
+    encoder, back = _encoders[name]
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 1000):
+            b = batch.slice(begin, 1000)
+            texts = tk.text_list(b.column(at))
+            ids, scores, same = [], [], []
+            for text, (own, ranked, _) in zip(texts, encoder.encode(texts, n), strict=True):
+                ids.append(own)
+                scores.append(ranked)
+                same.append(back(own.tolist()) == text)
+            sizes = np.array([len(x) for x in ids], np.int32)
+            offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes), lists, pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], columns)
