@@ -45,7 +45,8 @@ def _kinds(points: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray,
         h = np.zeros(max(len(points) - n + 1, 0), np.uint32)
         for j in range(n):
             h = (h + points[j : len(points) - n + 1 + j]) * _U32(0x01000193)
-        yield _bucket(h ^ (h >> _U32(15)), 2 + n), begin, np.maximum(stop - n + 1, begin)
+        first = np.minimum(begin, len(h))  # texts at the end may be shorter than an n-gram
+        yield _bucket(h ^ (h >> _U32(15)), 2 + n), first, np.maximum(np.minimum(stop - n + 1, len(h)), first)
 
 
 @dataclass
