@@ -33,6 +33,8 @@ WORDS, THRESHOLD = 5, 0.8
 #: A pair of similarity 0.8 shares no band with a probability of (1 - 0.8 ** 5) ** 25, one in twenty thousand.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
+#: Kept ids are sent to all executors only up to so many; beyond, the documents are shuffled to them.
+BROADCAST_IDS = 2_000_000
 #: Texts on either side of a task that compares what is left of large buckets.
 BLOCK = 400
 U = np.uint64
@@ -260,6 +262,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs that stand for their group, with all their columns; rows without a doc_id stay, of rows with one doc_id one stays."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    numbered = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return numbered.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    ws = Workspace(docs.sparkSession, "kept")
+    kept = ws.save(near_duplicates(docs).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
+    few = kept.count() <= BROADCAST_IDS
+    once, often = (F.broadcast(x) if few else x for x in (kept.where("n = 1").select("doc_id"), kept.where("n > 1").select("doc_id")))
+    single = docs.join(once, "doc_id", "left_semi").select(*docs.columns)
+    one_of = docs.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return single.unionByName(one_of).unionByName(docs.where("doc_id is null"))
