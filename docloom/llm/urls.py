@@ -109,7 +109,7 @@ def labelled() -> list[tuple[str, str, int]]:
 
 def train(rows: Sequence[tuple[str, str, int]], epochs: int = 60, rate: float = 0.5, decay: float = 1e-4) -> UrlModel:
     """Stochastic gradient descent in a fixed order; the same rows give the same model."""
-    weights, bias = np.zeros(BUCKETS), 0.0
+    weights, bias = np.zeros(BUCKETS), -1.0  # without evidence, allow
     rng = np.random.default_rng(7)
     data = [(features(h, p), y) for h, p, y in rows]
     for epoch in range(epochs):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
 import zipfile
@@ -59,9 +60,16 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_docloom_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="docloom-")) / "docloom_package.zip"
-    with zipfile.ZipFile(target, "w") as archive:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(target))
+    target = f"{shared_dir(spark)}/package-{uuid.uuid4().hex}/docloom_package.zip"
+    path = context._jvm.org.apache.hadoop.fs.Path(target)
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        stream.write(buffer.getvalue())
+    finally:
+        stream.close()
+    context.addPyFile(target)
     context._docloom_shipped = True
