@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import connected_components
-from .workspace import Workspace, ship
+from .workspace import Workspace, hash_sample, ship
 
 THRESHOLD = 0.9
 #: Rows of a shard on average, and at most; rows that centroids are fitted on.
@@ -185,7 +185,7 @@ def _matrix(column) -> np.ndarray:
 def _links(ws: Workspace, nodes: DataFrame, threshold: float) -> DataFrame:
     """(a, b), a < b, of the linked nodes among (node, vector) of one length."""
     total = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("vector").toArrow().column(0)
+    sample = hash_sample(nodes, "node", SAMPLE).select("vector").toArrow().column(0)
     fitted = unit(np.array(sample.combine_chunks().flatten(), float).reshape(len(sample), -1))
     centers = fit_centroids(fitted, max(1, min(-(-total // SHARD), len(fitted) // 4)))
     probes = min(PROBES, len(centers))

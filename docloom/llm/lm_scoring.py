@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .workspace import Workspace, ship
+from .workspace import Workspace, hash_sample, ship
 
 VOCABULARY, OWN, CLASSES = 8192, 31, 64
 SIDE, HIDDEN = 2, 24
@@ -148,11 +148,14 @@ def fit(docs: DataFrame) -> tuple[Lexicon, Network]:
     ws = Workspace(spark, "lm")
     texts = docs.select("text")
     counts = ws.save(texts.mapInArrow(_count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    # powers of two bound how many words can be among the most frequent, before any are sorted
+    powers = sorted(counts.groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
+    least = next((r["k"] for i, r in enumerate(powers) if sum(x["words"] for x in powers[: i + 1]) >= VOCABULARY), 0)
+    top = counts.where(F.col("n") >= F.lit(1 << least)).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     hashes, own = np.array([r["word"] for r in top], np.int64).view(np.uint64), np.array([r["n"] for r in top], np.int64)
     lexicon = Lexicon.build(hashes, own, max(counts.count() - len(top), 0))
     start = Network()
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).select("text").limit(START_DOCUMENTS).collect()
+    sample = sorted(hash_sample(docs.select("doc_id", "text"), "doc_id", START_DOCUMENTS).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"] or ""))
     rng = np.random.default_rng(9)
     classes, _, offsets = lexicon.read([r["text"] or "" for r in sample])
     if len(classes):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .workspace import ship
+from .workspace import hash_sample, ship
 
 BITS, DIM, GRAMS = 17, 8, (3, 4)
 #: At most so many labelled documents of either label are fitted on, those with the smallest hash of their id.
@@ -111,10 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
     """Train on at most per_label documents of each label, none of them held out."""
     known = labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     one = known.groupBy("doc_id").agg(F.when(F.avg("quality") >= 0.5, 1).otherwise(0).alias("label"))
-    order = F.xxhash64("doc_id")
     sample = None
     for label in (0, 1):
-        part = one.where(F.col("label") == label).orderBy(order, "doc_id").limit(per_label).collect()
+        part = hash_sample(one.where(F.col("label") == label), "doc_id", per_label).collect()
         sample = (sample or []) + [(r["doc_id"], r["label"]) for r in part]
     if not sample:
         return QualityModel(np.zeros(1 << BITS, np.float32), 0.0)

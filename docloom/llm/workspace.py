@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -73,3 +74,15 @@ def ship(spark: SparkSession) -> None:
         stream.close()
     context.addPyFile(target)
     context._docloom_shipped = True
+
+
+def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """About n rows, those with the smallest hashes of a column, all if there are fewer.
+
+    Only rows below a threshold of twice the share are sorted, so that tasks send a few rows each, however many there are.
+    """
+    total = df.count()
+    if total > 4 * n:
+        bound = int((1 << 30) * 2 * n / total) + 64
+        df = df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < bound)
+    return df.orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(n)
