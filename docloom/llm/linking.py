@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from .workspace import Workspace
 
+#: Labels are sent to all executors only up to so many nodes; beyond, the joins are shuffled.
+BROADCAST_NODES = 500_000
+
 
 def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
     """(id, label) for every end of an edge (a, b): the smallest id that its links reach.
@@ -19,11 +22,12 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
     one = edges.where(F.col("a") != F.col("b")).select("a", "b")
     both = ws.save(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = ws.save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label"), F.lit(True).alias("moved")), "labels")
+    small = F.broadcast if labels.count() <= BROADCAST_NODES else (lambda rows: rows)  # the nodes stay the same in all rounds
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("m"))
-        step = labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "m").alias("mid"))
+        near = both.join(small(labels.select(F.col("id").alias("b"), "label")), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("m"))
+        step = near.join(small(labels), "id").select("id", F.col("label").alias("old"), F.least("label", "m").alias("mid"))
         jump = labels.select(F.col("id").alias("mid"), F.col("label").alias("far"))
-        nxt = step.join(jump, "mid").select("id", F.least("mid", "far").alias("label"), (F.least("mid", "far") != F.col("old")).alias("moved"))
+        nxt = step.join(small(jump), "mid").select("id", F.least("mid", "far").alias("label"), (F.least("mid", "far") != F.col("old")).alias("moved"))
         nxt = ws.save(nxt, "labels")
         ws.drop(labels)
         labels = nxt
