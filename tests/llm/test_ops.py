@@ -282,6 +282,22 @@ def test_similar_lines_group(spark):
     assert out == line_groups(rows)
 
 
+def test_edit_similarity_alone_links_lines(spark):
+    """Lines with a word or some letters changed, of which few are within 3 bits of a SimHash, against all pairs."""
+    rng = random.Random(12)
+    lines = []
+    for n in (5, 8, 12, 12, 12, 20, 20, 30) * 3:
+        words = prose(rng, n).split()
+        at = rng.randrange(n)
+        lines += [words, [*words[:at], f"new{at}", *words[at + 1 :]], [*words[:at], words[at] + "s", *words[at + 1 :]]]
+    lines = [" ".join(x) for x in lines]
+    rng.shuffle(lines)
+    links = [(i, j) for i, j in itertools.combinations(range(len(lines)), 2) if edit_similar(lines[i], lines[j])]
+    first = groups_of(range(len(lines)), links)
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()} == {i: x if first[i] == i else "" for i, x in enumerate(lines)}
+
+
 def test_very_long_lines(spark):
     line = " ".join(f"w{i % 97}" for i in range(40_000))
     df = spark.createDataFrame([(1, line), (2, line + " end"), (3, "other line")], "doc_id bigint, text string")
