@@ -43,7 +43,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
-_DOT = re.compile(r"[ (\[]dot[ )\]]", re.I)
+_AT = re.compile(r"\(at\)|\[at\]| at ", re.I)
+_DIGIT = re.compile(r"[0-9]")
 
 # Looser patterns by kind.
 LOOSE = (
@@ -115,10 +116,11 @@ def base_spans(text: str) -> list[Span]:
 
 def proposed_spans(text: str, base: Sequence[Span]) -> list[Span]:
     """Spans of the looser patterns that overlap neither a base span nor an earlier proposed one."""
-    if not text or not (_ANY.search(text) or _DOT.search(text)):
+    if not text:
         return []
-    wide = _DOT.search(text) is not None or "@" in text or "(at)" in text or "[at]" in text
-    candidates = sorted(Span(m.start(), KINDS.index(kind), m.end()) for kind, pattern in LOOSE if kind != "email" or wide for m in pattern.finditer(text))
+    # conditions that every match implies; secrets need none of these signs
+    live = {"email": _AT.search(text), "ip": text.count(":") >= 7, "card": (digit := _DIGIT.search(text)), "phone": digit, "secret": True}
+    candidates = sorted(Span(m.start(), KINDS.index(kind), m.end()) for kind, pattern in LOOSE if live[kind] for m in pattern.finditer(text))
     out, taken, last = [], iter([*base, Span(1 << 60, 0, 1 << 60)]), 0
     block, reach = next(taken), 0
     for s in candidates:

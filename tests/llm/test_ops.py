@@ -234,6 +234,16 @@ def test_redaction():
     assert pii.redact("mail a@b.co, ip 1.2.3.4", pii.SpanModel(np.zeros(pii.FEATURES))) == "mail [email], ip [ip]"
 
 
+@pytest.mark.parametrize("kind, body", [
+    *(("email", f"jane{at}example{dot}com") for at in (" (at) ", "(AT)", " [at] ", "[At]", " at ", " AT ") for dot in (" (dot) ", "(DOT)", "[dot]", " dot ", ".", " . ")),
+    ("ip", "dead:beef:cafe:abcd:ffff:eeee:aaaa:bbbb"), ("ip", "2001:db8:1:2:3:4:5:6"), *(("card", sep.join(("4041", "8949", "7460", "8795"))) for sep in "./_"), ("phone", "(988) 555-2485"), ("phone", "988.555.2485"),
+    ("secret", "AKIA" + "ABCDEFGH" * 2), *(("secret", f"gh{x}_" + "abcXYZ" * 6) for x in "pousr"), ("secret", "abcdef" * 3),
+])
+def test_loose_patterns_need_no_other_sign(kind, body):
+    text = f"write: {body}, please"
+    assert [(pii.KINDS[s.rank], text[s.start : s.end]) for s in pii.proposed_spans(text, [])][-1:] == [(kind, body)]
+
+
 # 5
 
 
