@@ -124,12 +124,53 @@ confidential ; confidential ; proprietary and confidential ; 0.7
 """
 
 
+# SPDX ids as label, pattern of the id in words.
+SPDX = """
+apache-1.1 ; apache 1 1
+apache-2.0 ; apache 2 0
+mit ; mit
+mit-0 ; mit 0
+bsd-2-clause ; bsd 2 clause
+bsd-3-clause ; bsd 3 clause
+bsd-4-clause ; bsd 4 clause
+agpl-3.0 ; agpl 3 0( only| or later)?
+lgpl-2.0 ; lgpl 2 0( only| or later)?
+lgpl-2.1 ; lgpl 2 1( only| or later)?
+lgpl-3.0 ; lgpl 3 0( only| or later)?
+gpl-2.0 ; gpl 2 0( only| or later)?
+gpl-3.0 ; gpl 3 0( only| or later)?
+gfdl ; gfdl 1 [123]( only| or later)?
+mpl-1.1 ; mpl 1 1
+mpl-2.0 ; mpl 2 0
+epl-1.0 ; epl 1 0
+epl-2.0 ; epl 2 0
+cddl ; cddl 1 [01]
+cpl ; cpl 1 0
+eupl ; eupl 1 [012]
+isc ; isc
+zlib ; zlib
+bsl-1.0 ; bsl 1 0
+artistic ; artistic [12] 0
+psf ; (psf|python) 2 0
+php ; php 3 01?
+ruby ; ruby
+openssl ; openssl
+postgresql ; postgresql
+ofl-1.1 ; ofl 1 1
+odbl ; odbl 1 0
+cc0 ; cc0 1 0
+"""
+
+
 def rule_table() -> list[Rule]:
-    """All signatures, best first: each name within each frame, then the notices."""
+    """All signatures, best first: each name within each frame, the SPDX ids, then the notices."""
     rules = []
     for line in NAMES.strip().splitlines():
         label, keyword, name = line.split(" ; ")
         rules += [Rule(label, keyword, frame.replace("{name}", name), priority, weight) for frame, priority, weight in FRAMES]
+    for line in SPDX.strip().splitlines():
+        label, name = line.split(" ; ")
+        rules.append(Rule(label, "spdx license identifier", f"spdx license identifier {name}", 1, 0.99))
     for line in NOTICES.strip().splitlines():
         label, keyword, pattern, weight = line.split(" ; ")
         rules.append(Rule(label, keyword, pattern, 3, float(weight)))

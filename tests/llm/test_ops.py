@@ -362,6 +362,14 @@ def test_license_scan_equals_brute_force(spark, documents, odd):
     assert licenses.scan_licenses(odd.limit(0)).count() == 0
 
 
+def test_spdx_tags(spark):
+    ids = {"MIT": "mit", "MIT-0": "mit-0", "Apache-2.0": "apache-2.0", "GPL-2.0": "gpl-2.0", "GPL-2.0-only": "gpl-2.0", "GPL-3.0-or-later": "gpl-3.0", "LGPL-2.1": "lgpl-2.1", "AGPL-3.0-only": "agpl-3.0", "BSD-2-Clause": "bsd-2-clause", "BSD-3-Clause": "bsd-3-clause", "ISC": "isc", "MPL-2.0": "mpl-2.0", "EPL-2.0": "epl-2.0", "Zlib": "zlib", "BSL-1.0": "bsl-1.0", "Unlicense": "unlicense", "WTFPL": "wtfpl", "CC0-1.0": "cc0", "CC-BY-SA-4.0": "cc-by,cc-by-sa"}
+    texts = [f"// SPDX-License-Identifier: {x}\nint main" for x in ids]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {texts[r["doc_id"]]: (r["labels"], round(r["score"], 6)) for r in licenses.scan_licenses(df).collect()} == {t: (x, 0.99) for t, x in zip(texts, ids.values(), strict=True)}
+    check_licenses(df)
+
+
 def test_rules_hold_their_keyword():
     rules = licenses.rule_table()
     assert len(rules) > 200 and all(r.keyword in r.pattern for r in rules)
