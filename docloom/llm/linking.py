@@ -69,7 +69,10 @@ def link_buckets(ws: Workspace, members: DataFrame, verify: Callable[[DataFrame]
         pairs = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.when(F.col("id") < F.col("id2"), F.col("comp")).otherwise(F.col("comp2")).alias("ca"), F.when(F.col("id") < F.col("id2"), F.col("comp2")).otherwise(F.col("comp")).alias("cb")).distinct()
         pairs = ws.save(pairs, "pairs")
         if pairs.isEmpty():
-            break
+            ws.drop(pairs)
+            if near is None:  # no bucket has several components; with near, others than those compared may still be near each other
+                break
+            continue
         links = ws.save(verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")), "links")
         ws.drop(pairs)
         if links.isEmpty():

@@ -314,6 +314,12 @@ def test_very_long_lines(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()} == {1: line, 2: "", 3: "other line"}
 
 
+def test_buckets_whose_first_member_is_near_none(spark):
+    members = spark.createDataFrame([(1, i, p) for i, p in enumerate((0, 100, 200, 300, 400, 1000, 1001))], "key bigint, id bigint, p bigint")
+    labels = linking.link_buckets(Workspace(spark, "test"), members, lambda pairs: pairs, lambda a, b: (a - b).between(-1, 1))
+    assert {(r["id"], r["label"]) for r in labels.collect()} == {(5, 5), (6, 5)}
+
+
 def test_line_dedup_of_odd_rows(odd):
     out = line_dedup.dedup_lines(odd)
     assert out.columns[: len(odd.columns)] == odd.columns and out.count() == odd.count()
