@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import workspace
 from .workspace import Workspace
 
-#: Labels are sent to all executors only up to so many nodes; beyond, the joins are shuffled.
-BROADCAST_NODES = 500_000
+#: Rounds in which bucket members are compared with one other member, before what still stands apart is compared in full.
+STAR_ROUNDS = 3
+#: By round, what gives ids another order by exclusive or; the first keeps it.
+SALTS = (0, 0x5BD1E9955BD1E995, 0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)
 
 
 def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
@@ -22,7 +25,8 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
     one = edges.where(F.col("a") != F.col("b")).select("a", "b")
     both = ws.save(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = ws.save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label"), F.lit(True).alias("moved")), "labels")
-    small = F.broadcast if labels.count() <= BROADCAST_NODES else (lambda rows: rows)  # the nodes stay the same in all rounds
+    few = labels.count() <= workspace.SENT_ROWS  # the nodes stay the same in all rounds
+    small = F.broadcast if few else (lambda rows: rows)
     while True:
         near = both.join(small(labels.select(F.col("id").alias("b"), "label")), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("m"))
         step = near.join(small(labels), "id").select("id", F.col("label").alias("old"), F.least("label", "m").alias("mid"))
@@ -33,61 +37,91 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
         labels = nxt
         if labels.where("moved").isEmpty():
             ws.drop(both)
-            return labels.select("id", "label")
+            return labels
 
 
-def link_buckets(ws: Workspace, members: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable[[Column, Column], Column] | None = None, exhaust: Callable[[DataFrame], DataFrame] | None = None, star_rounds: int = 2) -> DataFrame:
-    """(id, label) of ids that verified links connect, given members (key, id, p) of the buckets.
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(id, id2, comp, comp2) as distinct (a, b, ca, cb) with a < b."""
+    first = F.col("id") < F.col("id2")
+    return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.when(first, F.col("comp")).otherwise(F.col("comp2")).alias("ca"), F.when(first, F.col("comp2")).otherwise(F.col("comp")).alias("cb")).distinct()
 
-    verify takes distinct candidates (a, b) with a < b and returns those that are links; near, if given, is a condition on the
-    payloads p of the two. Only links between different components change the result. So each bucket's members are
-    first compared with one member, then with others drawn by hash, and at last all pairs that still stand in different
-    components of a bucket are compared, without a cap. A group of n copies thus costs about n comparisons, not n * n.
 
-    exhaust, if given, does this last part: from (key, id, comp) of the buckets with several components it returns the links as (a, b) of components.
+def _star(own: DataFrame, near: Callable[[Column, Column], Column] | None, r: int) -> DataFrame:
+    """For each member (key, id, comp) at most one candidate: of the members that stand for its buckets in round r, that of the least rank."""
+    salt = F.lit(SALTS[r])
+    rank = F.col("id").bitwiseXOR(salt)
+    if r == 0:  # all are components of their own, and a least long is all that is gathered
+        hubs = own.groupBy("key").agg(F.min(rank).alias("rank")).select("key", "rank", F.col("rank").bitwiseXOR(salt).alias("comp2"))
+    else:
+        hubs = own.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "comp")).alias("c")).select("key", F.col("c.rank").alias("rank"), F.col("c.comp").alias("comp2"))
+    pairs = own.join(hubs, "key").where("comp != comp2")
+    if near is not None:
+        pairs = pairs.where(near(F.col("id"), F.col("rank").bitwiseXOR(salt)))
+    if r == 0:
+        best = pairs.groupBy("id", "comp").agg(F.min("rank").alias("rank")).withColumn("comp2", F.col("rank").bitwiseXOR(salt))
+    else:
+        best = pairs.groupBy("id", "comp").agg(F.min(F.struct("rank", "comp2")).alias("c")).select("id", "comp", "c.rank", "c.comp2")
+    return best.select("id", F.col("rank").bitwiseXOR(salt).alias("id2"), "comp", "comp2")
+
+
+def link_buckets(
+    ws: Workspace,
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    near: Callable[[Column, Column], Column] | None = None,
+    exhaust: Callable[[DataFrame], DataFrame] | None = None,
+    candidates: DataFrame | None = None,
+    star_rounds: int = STAR_ROUNDS,
+) -> DataFrame:
+    """(id, label) of ids that verified links connect, given the members (key, id) of buckets, and further candidates (a, b), if any.
+
+    verify takes distinct candidates (a, b) with a < b and returns those that are links; near, if given, is a condition on two ids that
+    all links meet. Only links between different components change the result. So in each round a member is compared with at most one other, of
+    those that stand for its buckets; a group of n copies costs about n comparisons, not n * n. At last all pairs that still
+    stand in different components of a bucket are compared, without a cap: by exhaust, if given, which turns (key, id, comp) of the
+    buckets with several components into links (a, b) of components.
     """
     labels: DataFrame | None = None
+    mixed: DataFrame | None = None
     for r in range(star_rounds + 1):
-        own = members.withColumn("comp", F.col("id"))
-        if labels is not None:
-            own = members.join(labels, "id", "left").select("key", "id", "p", F.coalesce("label", "id").alias("comp"))
-            mixed = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-            own = own.join(mixed, "key", "left_semi")
+        if labels is None:
+            own = members.withColumn("comp", F.col("id"))
+        else:
+            own = members.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("comp"))
+            several = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+            old = mixed
+            mixed = own = ws.save(own.join(several, "key", "left_semi"), "mixed")  # only fewer buckets are mixed later
+            members = own.select("key", "id")
+            if old is not None:
+                ws.drop(old)
+            if own.isEmpty():
+                break
         if r == star_rounds and exhaust is not None:
-            links = ws.save(exhaust(ws.save(own.select("key", "id", "comp"), "rest")), "links")
-            labels = labels if links.isEmpty() else _relabelled(ws, labels, connected_components(ws, links))
-            break
-        if r < star_rounds:
-            rank = F.col("id") if r == 0 else F.xxhash64("id", "key", F.lit(r))
-            other = own.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "id", "p", "comp")).alias("c")).select("key", F.col("c.id").alias("id2"), F.col("c.p").alias("p2"), F.col("c.comp").alias("comp2"))
-            pairs = own.join(other, "key").where("comp != comp2")
+            links = exhaust(own)
         else:
-            other = own.select("key", F.col("id").alias("id2"), F.col("p").alias("p2"), F.col("comp").alias("comp2"))
-            pairs = own.join(other.withColumnRenamed("key", "key2"), (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & (near(F.col("p"), F.col("p2")) if near is not None else F.lit(True)))
-        if near is not None:
-            pairs = pairs.where(near(F.col("p"), F.col("p2")))
-        pairs = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.when(F.col("id") < F.col("id2"), F.col("comp")).otherwise(F.col("comp2")).alias("ca"), F.when(F.col("id") < F.col("id2"), F.col("comp2")).otherwise(F.col("comp")).alias("cb")).distinct()
-        pairs = ws.save(pairs, "pairs")
-        if pairs.isEmpty():
+            if r < star_rounds:
+                pairs = _star(own, near, r)
+            else:
+                other = own.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("comp").alias("comp2"))
+                pairs = own.join(other, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & (near(F.col("id"), F.col("id2")) if near is not None else F.lit(True))).select("id", "id2", "comp", "comp2")
+            pairs = _ordered(pairs)
+            if r == 0 and candidates is not None:
+                pairs = pairs.unionByName(candidates.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))).distinct()
+            pairs = ws.save(pairs, "pairs")
+            links = verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        links = ws.save(links, "links")
+        if not (r == star_rounds and exhaust is not None):
             ws.drop(pairs)
-            if near is None:  # no bucket has several components; with near, others than those compared may still be near each other
-                break
-            continue
-        links = ws.save(verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")), "links")
-        ws.drop(pairs)
-        if links.isEmpty():
-            continue
-        merged = connected_components(ws, links)
+        if not links.isEmpty():
+            merged = connected_components(ws, links).select("id", "label")
+            labels = merged if labels is None else _relabelled(ws, labels, merged)
         ws.drop(links)
-        labels = _relabelled(ws, labels, merged)
-    if labels is None:
-        return members.select("id", F.col("id").alias("label")).limit(0)
-    return labels
+    if mixed is not None:
+        ws.drop(mixed)
+    return members.select("id", F.col("id").alias("label")).limit(0) if labels is None else labels
 
 
-def _relabelled(ws: Workspace, labels: DataFrame | None, merged: DataFrame) -> DataFrame:
+def _relabelled(ws: Workspace, labels: DataFrame, merged: DataFrame) -> DataFrame:
     """Labels of all ids, given those so far and the new labels of components."""
-    if labels is None:
-        return merged
     old = labels.join(merged.select(F.col("id").alias("label"), F.col("label").alias("new")), "label", "left").select("id", F.coalesce("new", "label").alias("label"))
     return ws.save(old.unionByName(merged.join(labels, "id", "left_anti")), "labels")

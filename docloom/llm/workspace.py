@@ -13,12 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Shuffle files go as soon as the table that they were for is written.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of a narrow table (ids, keys, hashes) up to which it is sent to all executors; a count comes first, and beyond it both sides are shuffled.
+SENT_ROWS = 300_000
+
+
+def sent(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """A narrow table as the smaller side of a join: to all executors if a count finds it small, else shuffled like the other side."""
+    return F.broadcast(rows) if rows.count() <= (SENT_ROWS if limit is None else limit) else rows
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; only where that is unset, as in tests, a folder of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docloom-"))
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
@@ -36,7 +49,12 @@ class Workspace:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         path = f"{self.path}/{self._n:03d}-{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._docloom_path = path
         return out
