@@ -9,10 +9,10 @@ draws a later one. So a weight of w costs about log w and not w steps (after Ert
 
 Documents with equal words are one class. Classes that share a band are compared until no further link can change a group
 (see linking), by the exact share min/max of the shingle counts; similarity of at least 0.8 is a link, connected classes are a group, and the
-smallest doc_id stands for it.
+smallest doc_id stands for it. In a round a document is compared with one other at most, and what is left apart in a bucket with all of the bucket.
 
 Defined results: null, empty and wordless texts have no words and so are equal to each other; texts of 1 to 4 words
-are one shingle; repeated rows with the same doc_id count as copies; rows without a doc_id are left out of groups (each is its own and kept); an empty table gives no rows;
+are one shingle; repeated rows with the same doc_id count as copies, and rows with one doc_id and different texts as different documents; ties go to the smallest doc_id, then to the smallest hash of the row; rows without a doc_id are left out of groups (each is its own and kept); an empty table gives no rows;
 other columns are not read.
 """
 
@@ -22,21 +22,23 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .linking import connected_components, link_buckets
-from .workspace import Workspace, ship
+from .linking import link_buckets, ordered
+from .workspace import Workspace, sent, ship
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair of similarity 0.8 shares no band with a probability of (1 - 0.8 ** 5) ** 25, one in twenty thousand.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Kept ids are sent to all executors only up to so many; beyond, the documents are shuffled to them.
-BROADCAST_IDS = 2_000_000
-#: Texts on either side of a task that compares what is left of large buckets.
-BLOCK = 400
+#: Characters of the texts that a task compares with a hub, or, on either side, of those left in large buckets; a longer text stands alone.
+CHUNK = 2_000_000
+#: Members of a bucket whose pairs are listed when components are left; larger ones are compared in blocks.
+SMALL = 8
+#: Classes of more than this share of the rows are joined without a shuffle.
+HEAVY = 1000
 U = np.uint64
 
 
@@ -141,7 +143,7 @@ def bands_of(times: np.ndarray) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = tk.text_list(b.column(1))
+        texts = tk.text_list(b.column(2))
         for part in tk.pieces(texts, 300_000):
             hashes, owner, counts, words, offsets = shingle_counts(texts[part])
             n = part.stop - part.start
@@ -149,7 +151,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one, two = _class_keys(words, offsets)
             size = np.diff(offsets)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(bands.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(part.start, n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(size), lists], ["doc_id", "k1", "k2", "n_words", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(part.start, n), b.column(1).slice(part.start, n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(size), lists], ["doc_id", "row", "k1", "k2", "n_words", "bands"])
 
 
 def similarity(a: str, b: str) -> float:
@@ -170,12 +172,35 @@ def similarities(left: Sequence[str], right: Sequence[str]) -> np.ndarray:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        left, right = tk.text_list(b.column(2)), tk.text_list(b.column(3))
-        keep = np.zeros(b.num_rows, bool)
+    """Of rows (hub, chunk, other, text) in order, the links (a, b): a chunk's first row, without another id, has the hub's text."""
+    hub, text = None, ""
+    for batch in batches:
+        ids, others, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist(), tk.text_list(batch.column(3))
+        pairs, left, right = [], [], []
+        for i, other, own in zip(ids, others, texts, strict=True):
+            if other is None:
+                hub, text = i, own
+            elif i == hub:
+                pairs.append((min(i, other), max(i, other)))
+                left.append(text)
+                right.append(own)
+        keep = np.zeros(len(pairs), bool)
         for part in tk.pieces([x + y for x, y in zip(left, right, strict=True)], 500_000):
             keep[part] = similarities(left[part], right[part]) >= THRESHOLD - 1e-12
-        yield pa.RecordBatch.from_arrays(b.columns[:2], ["a", "b"]).filter(pa.array(keep))
+        linked = np.array(pairs, np.int64).reshape(-1, 2)[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(linked[:, 0]), pa.array(linked[:, 1])], ["a", "b"])
+
+
+def _links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The links among candidates (a, b, hub). A hub's candidates are dealt into chunks of bounded size, each with one copy of its text."""
+    own = pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"))
+    sized = own.join(texts.select("node", "chars"), "node")
+    plan = sized.groupBy("hub").agg(F.ceil(F.sum("chars") / CHUNK).cast("int").alias("chunks"))
+    dealt = own.join(plan, "hub").select("hub", F.pmod(F.xxhash64("node"), F.greatest("chunks", F.lit(1))).alias("chunk"), "node")
+    members = dealt.join(texts, "node").select("hub", "chunk", F.col("node").alias("other"), "text")
+    hubs = dealt.select("hub", "chunk").distinct().join(texts.withColumnRenamed("node", "hub"), "hub").select("hub", "chunk", F.lit(None).cast("bigint").alias("other"), "text")
+    rows = members.unionByName(hubs).repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", F.col("other").asc_nulls_first())
+    return rows.mapInArrow(_verify, "a bigint, b bigint")
 
 
 def _compare(left_texts: Sequence[str], right_texts: Sequence[str], left_comp: np.ndarray, right_comp: np.ndarray) -> set[tuple[int, int]]:
@@ -207,20 +232,23 @@ def _compare(left_texts: Sequence[str], right_texts: Sequence[str], left_comp: n
 def _exhaust(ws: Workspace, texts: DataFrame, rest: DataFrame) -> DataFrame:
     """Links between components, from all members (key, id, comp) of the buckets that hold several.
 
-    Buckets that share members form a cluster. All members outside a cluster's largest component are compared with the whole cluster, in blocks of
-    bounded size: n members of which u are outside give u * n / BLOCK rows to the tasks, instead of u * n pairs.
+    Pairs in small buckets are compared once, in however many buckets they stand. In a large one all members outside its largest component are compared with
+    the whole bucket, in blocks of bounded size: n characters of which u are outside give about u / CHUNK * n / CHUNK tasks, and no row for each pair.
     """
-    stars = rest.join(rest.groupBy("key").agg(F.min("id").alias("b")), "key").select(F.col("id").alias("a"), "b")
-    clusters = connected_components(ws, stars).select("id", F.col("label").alias("cluster"))
-    docs = ws.save(rest.select("id", "comp").distinct().join(clusters, "id"), "clusters")
-    sizes = docs.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("cluster").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
-    plan = main.select("cluster", F.col("top.comp").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("outer")).where("outer > 0")
-    held = docs.join(plan, "cluster").join(texts.withColumnRenamed("doc_id", "id"), "id")
-    held = ws.save(held.withColumn("deal", F.xxhash64("id")), "held")
-    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = held.where("comp != main").select("cluster", F.pmod("deal", "outer").cast("int").alias("x"), span("blocks").alias("y"), "comp", "text")
-    right = held.select("cluster", span("outer").alias("x"), F.pmod("deal", "blocks").cast("int").alias("y"), "comp", "text")
+    held = ws.save(rest.join(texts.select(F.col("node").alias("id"), "chars"), "id"), "rest")
+    sizes = held.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    main = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.max(F.struct("n", "comp", "chars")).alias("top"))
+    plan = main.select("key", "n", F.col("top.comp").alias("main"), F.ceil(F.col("chars") / CHUNK).cast("int").alias("blocks"), F.ceil((F.col("chars") - F.col("top.chars")) / CHUNK).cast("int").alias("outer"))
+    held = ws.save(held.join(plan, "key"), "planned")
+    few = held.where(F.col("n") <= SMALL).select("key", "id", "comp")
+    other = few.toDF("key2", "id2", "comp2")
+    pairs = ws.save(ordered(few.join(other, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")))), "pairs")
+    near = _links(texts, pairs).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    many = held.where(F.col("n") > SMALL).join(texts.select(F.col("node").alias("id"), "text"), "id").withColumn("deal", F.xxhash64("id"))
+    span = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1))
+    part = lambda n: F.pmod("deal", F.greatest(F.col(n), F.lit(1))).cast("int")
+    left = many.where("comp != main").select("key", part("outer").alias("x"), span("blocks").alias("y"), "comp", "text")
+    right = many.select("key", span("outer").alias("x"), part("blocks").alias("y"), "comp", "text")
     right = right.toDF(*right.columns)
 
     def run(one, two):
@@ -229,43 +257,54 @@ def _exhaust(ws: Workspace, texts: DataFrame, rest: DataFrame) -> DataFrame:
         links = _compare(one["text"].tolist(), two["text"].tolist(), one["comp"].to_numpy(), two["comp"].to_numpy()) if len(one) and len(two) else ()
         return pd.DataFrame(sorted(links), columns=["a", "b"], dtype="int64")
 
-    keys = ("cluster", "x", "y")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "a bigint, b bigint")
+    keys = ("key", "x", "y")
+    return near.unionByName(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "a bigint, b bigint"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, group_id, group_size, kept): class_id is the smallest doc_id with the same words."""
+def _row() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("bigint"), "text").alias("row")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, class_id, group_id, group_size, stands) of all rows with a doc_id: row is a hash of id and text, and stands is true of those rows that stand for their group."""
     spark = docs.sparkSession
     ship(spark)
     ws = Workspace(spark, "bagminhash")
-    source = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").where("doc_id is not null")
-    signed = ws.save(source.mapInArrow(_sign, "doc_id bigint, k1 bigint, k2 bigint, n_words bigint, bands array<bigint>"), "signed")
-    classes = ws.save(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n"), F.max("n_words").alias("n_words")), "classes")
-    heads = classes.where("n_words > 0").select(F.col("class_id").alias("doc_id"), "k1", "k2")
-    banded = signed.join(heads, ["doc_id", "k1", "k2"], "left_semi").select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")).distinct()
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _row(), "text").where("doc_id is not null")
+    signed = ws.save(source.mapInArrow(_sign, "doc_id bigint, row bigint, k1 bigint, k2 bigint, n_words bigint, bands array<bigint>"), "signed")
+    classes = signed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row")).alias("head"), F.count(F.lit(1)).alias("n"), F.max("n_words").alias("n_words"))
+    classes = ws.save(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    heads = classes.where("n_words > 0").select("k1", "k2", "head.doc_id", "head.row", "node")
+    banded = signed.join(heads, ["k1", "k2", "doc_id", "row"]).select(F.explode("bands").alias("key"), F.col("node").alias("id")).distinct()
     busy = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = ws.save(banded.join(busy, "key", "left_semi").withColumn("p", F.lit(None).cast("bigint")), "members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = ws.save(source.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    members = ws.save(banded.join(busy, "key", "left_semi"), "members")
+    wanted = heads.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select("node", "doc_id", "row")
+    texts = ws.save(source.join(sent(wanted), ["doc_id", "row"]).select("node", "text", F.length("text").cast("bigint").alias("chars")).dropDuplicates(["node"]), "texts")  # repeated rows have one text
+    labels = link_buckets(ws, members, lambda pairs: _links(texts, pairs), exhaust=lambda rest: _exhaust(ws, texts, rest))
+    ws.drop(members, texts)
+    joined = ws.save(classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("k1", "k2", "head", "n", F.coalesce("label", "node").alias("label")), "joined")
+    groups = joined.groupBy("label").agg(F.min("head").alias("first"), F.sum("n").alias("group_size"))
+    known = ws.save(joined.join(groups, "label").select("k1", "k2", F.col("head.doc_id").alias("class_id"), "first", "group_size", "n"), "known")
+    ws.drop(joined)
+    # a class of a large share of all rows is one key; there are fewer than HEAVY of them, and they go to all executors
+    large = F.lit(signed.count() / HEAVY)
+    rows = signed.select("doc_id", "row", "k1", "k2")
+    heavy = F.broadcast(known.where(F.col("n") > large))
+    found = rows.join(heavy, ["k1", "k2"]).unionByName(rows.join(heavy, ["k1", "k2"], "left_anti").join(known.where(F.col("n") <= large), ["k1", "k2"]))
+    return found.select("doc_id", "row", "class_id", F.col("first.doc_id").alias("group_id"), "group_size", ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))).alias("stands"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        two = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        return two.select("a", "b", "ta", "tb").mapInArrow(_verify, "a bigint, b bigint")
 
-    labels = link_buckets(ws, members, verify, exhaust=lambda rest: _exhaust(ws, texts, rest))
-    grouped = classes.join(labels.select(F.col("id").alias("class_id"), "label"), "class_id", "left").select("k1", "k2", "class_id", "n", F.coalesce("label", "class_id").alias("group_id"))
-    sizes = grouped.groupBy("group_id").agg(F.sum("n").alias("group_size"))
-    known = grouped.join(sizes, "group_id").select("k1", "k2", "class_id", "group_id", "group_size")
-    return signed.join(known, ["k1", "k2"]).select("doc_id", "class_id", "group_id", "group_size", (F.col("doc_id") == F.col("group_id")).alias("kept"))
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, group_id, group_size, kept): class_id is the smallest doc_id with the same words, kept is whether the row or an equal one stands for the group."""
+    return _grouped(docs).select("doc_id", "class_id", "group_id", "group_size", F.col("stands").alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stand for their group, with all their columns; rows without a doc_id stay, of rows with one doc_id one stays."""
+    """The rows of docs that stand for their group, with all their columns; of repeated rows, which have one id and text, one stays. Rows without a doc_id all stay."""
     ws = Workspace(docs.sparkSession, "kept")
-    kept = ws.save(near_duplicates(docs).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
-    few = kept.count() <= BROADCAST_IDS
-    once, often = (F.broadcast(x) if few else x for x in (kept.where("n = 1").select("doc_id"), kept.where("n > 1").select("doc_id")))
-    single = docs.join(once, "doc_id", "left_semi").select(*docs.columns)
-    one_of = docs.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return single.unionByName(one_of).unionByName(docs.where("doc_id is null"))
+    kept = ws.save(_grouped(docs).where("stands").groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), "n"), "kept")
+    once, often = sent(kept.where("n = 1").drop("n")), sent(kept.where("n > 1").drop("n"))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("bigint").alias("__doc"), _row().alias("__row"))
+    single = marked.join(once, ["__doc", "__row"], "left_semi")
+    one_of = marked.join(often, ["__doc", "__row"], "left_semi").dropDuplicates(["__doc", "__row"])
+    return single.unionByName(one_of).unionByName(marked.where("__doc is null")).select(*[F.col("doc")[c].alias(c) for c in docs.columns])

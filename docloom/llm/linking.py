@@ -40,14 +40,15 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """(id, id2, comp, comp2) as distinct (a, b, ca, cb) with a < b."""
+def ordered(pairs: DataFrame) -> DataFrame:
+    """(id, id2, comp, comp2) as distinct (a, b, hub, ca, cb) with a < b; the hub is the end that stands in more pairs, if any, id2."""
     first = F.col("id") < F.col("id2")
-    return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.when(first, F.col("comp")).otherwise(F.col("comp2")).alias("ca"), F.when(first, F.col("comp2")).otherwise(F.col("comp")).alias("cb")).distinct()
+    named = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.col("id2").alias("hub"), F.when(first, F.col("comp")).otherwise(F.col("comp2")).alias("ca"), F.when(first, F.col("comp2")).otherwise(F.col("comp")).alias("cb"))
+    return named.groupBy("a", "b", "ca", "cb").agg(F.min("hub").alias("hub"))
 
 
 def _star(own: DataFrame, near: Callable[[Column, Column], Column] | None, r: int) -> DataFrame:
-    """For each member (key, id, comp) at most one candidate: of the members that stand for its buckets in round r, that of the least rank."""
+    """For each member (key, id, comp) at most one candidate: of the members that stand for its buckets in round r, that of most buckets."""
     salt = F.lit(SALTS[r])
     rank = F.col("id").bitwiseXOR(salt)
     if r == 0:  # all are components of their own, and a least long is all that is gathered
@@ -57,10 +58,8 @@ def _star(own: DataFrame, near: Callable[[Column, Column], Column] | None, r: in
     pairs = own.join(hubs, "key").where("comp != comp2")
     if near is not None:
         pairs = pairs.where(near(F.col("id"), F.col("rank").bitwiseXOR(salt)))
-    if r == 0:
-        best = pairs.groupBy("id", "comp").agg(F.min("rank").alias("rank")).withColumn("comp2", F.col("rank").bitwiseXOR(salt))
-    else:
-        best = pairs.groupBy("id", "comp").agg(F.min(F.struct("rank", "comp2")).alias("c")).select("id", "comp", "c.rank", "c.comp2")
+    shared = pairs.groupBy("id", "comp", "rank", "comp2").agg(F.count(F.lit(1)).alias("n"))
+    best = shared.groupBy("id", "comp").agg(F.min(F.struct(-F.col("n"), "rank", "comp2")).alias("c")).select("id", "comp", "c.rank", "c.comp2")
     return best.select("id", F.col("rank").bitwiseXOR(salt).alias("id2"), "comp", "comp2")
 
 
@@ -75,7 +74,7 @@ def link_buckets(
 ) -> DataFrame:
     """(id, label) of ids that verified links connect, given the members (key, id) of buckets, and further candidates (a, b), if any.
 
-    verify takes distinct candidates (a, b) with a < b and returns those that are links; near, if given, is a condition on two ids that
+    verify takes distinct candidates (a, b) with a < b, and which of the two is the hub of a round, and returns (a, b) of those that are links; near, if given, is a condition on two ids that
     all links meet. Only links between different components change the result. So in each round a member is compared with at most one other, of
     those that stand for its buckets; a group of n copies costs about n comparisons, not n * n. At last all pairs that still
     stand in different components of a bucket are compared, without a cap: by exhaust, if given, which turns (key, id, comp) of the
@@ -104,11 +103,11 @@ def link_buckets(
             else:
                 other = own.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("comp").alias("comp2"))
                 pairs = own.join(other, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & (near(F.col("id"), F.col("id2")) if near is not None else F.lit(True))).select("id", "id2", "comp", "comp2")
-            pairs = _ordered(pairs)
+            pairs = ordered(pairs)
             if r == 0 and candidates is not None:
-                pairs = pairs.unionByName(candidates.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))).distinct()
+                pairs = pairs.unionByName(candidates.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"), F.col("a").alias("hub"))).dropDuplicates(["a", "b"])
             pairs = ws.save(pairs, "pairs")
-            links = verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+            links = verify(pairs.select("a", "b", "hub")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         links = ws.save(links, "links")
         if not (r == star_rounds and exhaust is not None):
             ws.drop(pairs)
