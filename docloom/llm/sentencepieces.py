@@ -13,6 +13,8 @@ on these alone, and a merge over the losses gives the text's N best.
 Characters without a piece become the byte pieces of their UTF-8 form, at a penalty for each byte, so that decoding restores every text.
 A literal space mark in a text is written in bytes as well, for it would come back as a space.
 
+Any text ends in a time that grows with its length, also one of a repeated character, for a position of the lattice is expanded N times at most.
+
 Defined results: null and empty texts have no pieces, one segmentation of score 0, and decode to the empty text; of equal scores the way whose last
 piece is shorter comes first; repeated rows get equal results; other columns are kept by encode_column and not read.
 """
@@ -95,12 +97,19 @@ class Vocabulary:
         return best
 
     def search(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best segmentations of a unit, best first: backward A* with the forward scores as heuristic."""
+        """The n best segmentations of a unit, best first: backward A* with the forward scores as heuristic.
+
+        What follows a position in one of the n best ways is one of the n best from there on, so that each position is
+        expanded n times at most; without this bound, ways of equal scores would multiply along a repeated character.
+        """
         best = self.forward(unit)
         agenda: list = [(-best[len(unit)], 0, len(unit), 0.0, None)]
-        count, found = 0, []
+        count, found, expanded = 0, [], [0] * (len(unit) + 1)
         while agenda and len(found) < n:
             _, _, end, after, tail = heapq.heappop(agenda)
+            expanded[end] += 1
+            if expanded[end] > n:
+                continue
             if end == 0:
                 ids: list[int] = []
                 while tail is not None:
@@ -223,18 +232,24 @@ class Encoder:
             self.deviations[key] = self.v.search(unit, n)
         return self.deviations[key]
 
-    def encode(self, texts: Sequence[str], n: int = NBEST) -> Iterator[tuple[np.ndarray, list[float], list[list[tuple[int, tuple[int, ...]]]]]]:
-        """For each text: the ids of the best segmentation, the scores of the n best, and by which (unit, ids) each of them deviates."""
+    def encode(self, texts: Sequence[str], n: int = NBEST) -> Iterator[tuple[list[float], list[np.ndarray]]]:
+        """For each text: the scores and the ids of its n best segmentations, best first; fewer if it has fewer."""
         for part in tk.pieces(texts, 300_000):
             cut = [units_of(t) for t in texts[part]]
             self.learn(list(dict.fromkeys(u for units in cut for u in units)))
             for units in cut:
                 if not units:
-                    yield np.zeros(0, np.int32), [0.0], [[]]
+                    yield [0.0], [np.zeros(0, np.int32)]
                     continue
                 data, best, loss = zip(*map(self.known.__getitem__, units), strict=True)
                 scores, ways = self._merge(units, np.array(loss), float(sum(best)), n)
-                yield np.frombuffer(b"".join(data), np.int32), scores, ways
+                ids = []
+                for way in ways:  # the best way but for a few units
+                    own = list(data) if way else data
+                    for u, other in way:
+                        own[u] = np.array(other, np.int32).tobytes()
+                    ids.append(np.frombuffer(b"".join(own), np.int32))
+                yield scores, ids
 
     def _merge(self, units: Sequence[str], loss: np.ndarray, total: float, n: int) -> tuple[list[float], list[list[tuple[int, tuple[int, ...]]]]]:
         m = min(n - 1, len(units))
@@ -252,13 +267,8 @@ class Encoder:
 
     def nbest_ids(self, text: str, n: int = NBEST) -> list[tuple[float, list[int]]]:
         """The n best segmentations of one text, best first."""
-        ((_, scores, ways),) = self.encode([text], n)
-        units = units_of(text)
-        out = []
-        for score, way in zip(scores, ways, strict=True):
-            other = dict(way)
-            out.append((score, [int(i) for k, u in enumerate(units) for i in other.get(k, np.frombuffer(self.known[u][0], np.int32))]))
-        return out
+        ((scores, ids),) = self.encode([text], n)
+        return [(score, own.tolist()) for score, own in zip(scores, ids, strict=True)]
 
 
 def decode(vocabulary: Vocabulary, ids: Sequence[int]) -> str:
@@ -280,20 +290,42 @@ def decoder(vocabulary: Vocabulary):
 _encoders: dict[str, tuple[Encoder, object]] = {}
 
 
+ADDED = ("n_pieces int", "piece_ids array<int>", "nbest_scores array<double>", "nbest_ids array<array<int>>", "roundtrip boolean")
+
+
 def encode_column(docs: DataFrame, model_path: str, n: int = NBEST, text_col: str = "text") -> DataFrame:
-    """docs with n_pieces, piece_ids (of the best segmentation), nbest_scores and roundtrip, whether the ids decode to the text.
+    """docs with n_pieces and piece_ids (of the best segmentation), nbest_scores and nbest_ids (of all n), and roundtrip, whether all n decode to the text.
 
     These names replace equal ones of the input. The model file is read on the driver and its pieces are sent along.
     """
     ship(docs.sparkSession)
     vocabulary = Vocabulary.load(model_path)
-    added = "n_pieces int, piece_ids array<int>, nbest_scores array<double>, roundtrip boolean"
-    new = ["n_pieces", "piece_ids", "nbest_scores", "roundtrip"]
+    new = [c.split()[0] for c in ADDED]
     source = docs.drop(*new)
-    at = source.columns.index(text_col)
-    schema = source.withColumns({c.split()[0]: F.lit(None).cast(c.split()[1]) for c in added.split(", ")}).schema
+    schema = source.withColumns({name: F.lit(None).cast(c.split()[1]) for name, c in zip(new, ADDED, strict=True)}).schema
+    return source.mapInArrow(partial(_encode_batches, vocabulary, model_path, n, source.columns.index(text_col), [*source.columns, *new]), schema)
+
+
+def decode_column(docs: DataFrame, model_path: str, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
+    """docs with the text of each row's piece ids; null ids give null. An equal name of the input is replaced."""
+    ship(docs.sparkSession)
+    vocabulary = Vocabulary.load(model_path)
+    source = docs.drop(text_col)
+    at, columns = source.columns.index(ids_col), [*source.columns, text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        back = decoder(vocabulary)
+        for b in batches:
+            texts = [None if ids is None else back(ids) for ids in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], columns)
+
+    return source.mapInArrow(run, source.withColumn(text_col, F.lit(None).cast("string")).schema)
 
-    return source.mapInArrow(partial(_encode_batches, vocabulary, model_path, n, at, [*source.columns, *new]), schema)
+
+def _lists(rows: Sequence[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(x) for x in rows], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)))
 
 
 def _encode_batches(vocabulary: Vocabulary, name: str, n: int, at: int, columns: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,12 +337,15 @@ def _encode_batches(vocabulary: Vocabulary, name: str, n: int, at: int, columns:
         for begin in range(0, batch.num_rows, 1000):
             b = batch.slice(begin, 1000)
             texts = tk.text_list(b.column(at))
-            ids, scores, same = [], [], []
-            for text, (own, ranked, _) in zip(texts, encoder.encode(texts, n), strict=True):
-                ids.append(own)
+            scores, ids = [], []
+            for ranked, own in encoder.encode(texts, n):
                 scores.append(ranked)
-                same.append(back(own.tolist()) == text)
-            sizes = np.array([len(x) for x in ids], np.int32)
-            offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes), lists, pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], columns)
+                ids.append(own)
+            flat = [x for own in ids for x in own]
+            counts = np.append(0, np.cumsum([len(own) for own in ids])).astype(np.int32)
+            same = [all(back(x.tolist()) == text for x in own) for text, own in zip(texts, ids, strict=True)]
+            best = [own[0] for own in ids]
+            sizes = np.array([len(x) for x in best], np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(sizes), _lists(best), pa.array(scores, pa.list_(pa.float64())), pa.ListArray.from_arrays(pa.array(counts), _lists(flat)), pa.array(same, pa.bool_())], columns
+            )
