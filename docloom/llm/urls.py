@@ -1,13 +1,12 @@
 """URL filter: suffix rules first, then logistic regression on hashed character n-grams of host and path.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and is judged by the model alone; an
-empty table gives no rows; repeated urls get the same verdict; columns of the input beyond the id and the url are not
-read, whatever their names.
+empty table gives no rows; repeated urls get the same verdict; of two equally long rules the first counts; very long urls are
+judged by all of their n-grams; columns of the input beyond the id and the url are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,7 +18,7 @@ from pyspark.sql.types import DoubleType
 
 from .workspace import ship
 
-BUCKETS = 1 << 15
+BITS = 15
 SIZES = (3, 4, 5)
 
 # The rules of the contract, as verdict, host, path prefix.
@@ -31,27 +30,37 @@ RULES = (
     ("block", "com", "/de/"),
 )
 
-# The small labelled table that the model is trained on.
+# The small labelled table that the model is trained on, as host and path.
 BLOCKED = """
-www.spam-farm.example.org /en/ | spam.example.net /win/ | cheap-pills.example.com /buy | best-casino.example.net /bonus
-blog.casino-win.example.net /en/12.html | casino.example.com /slots/free-spins | online-poker.example.org /play | bet-win.example.net /odds
-adult-x.example.com /video/1 | xxx.example.net /adult/ | adult-chat.example.org /cams | hot-sex.example.com /free
-m.ads-track.example.com /click | ads.example.net /banner?id | adserver.example.org /pixel.gif | track.example.com /redirect
-click-tracker.example.net /go | popup-ads.example.com /pop | link-farm.example.org /links/1 | seo-spam.example.net /backlinks
-payday-loan.example.com /apply | free-viagra.example.net /order | fake-watches.example.org /replica | malware-host.example.com /payload.exe
-phishing-login.example.net /account/verify | crypto-doubler.example.org /send | lottery-winner.example.com /claim | jackpot-slots.example.net /casino
-warez-crack.example.org /keygen | torrent-porn.example.com /xxx | escort-ads.example.net /adult | spam-mail.example.com /unsubscribe
+casino-royal.example.net /slots/free | www.casino.example.com /slots/jackpot | best-casino.example.org /bonus | blog.casino-win.example.net /en/12.html
+online-poker.example.org /play/free-spins | poker-casino.example.com /bonus/win | slots-jackpot.example.net /casino/spins | bet-win.example.com /odds/bonus
+sports-bet.example.org /bet/odds | www.bet-poker.example.net /win | lottery-win.example.com /jackpot/claim | lottery-winner.example.net /claim/prize
+free-prize.example.org /claim/win | prize-claim.example.com /lottery | cheap-pills.example.com /buy/viagra | viagra-pills.example.net /order/cheap
+free-viagra.example.org /buy/pills | pharma-pills.example.com /cheap/order | cheap-pharma.example.net /viagra | replica-watches.example.org /cheap/buy
+fake-watches.example.com /replica/buy | adult-xxx.example.com /video/porn | xxx-porn.example.net /adult/free | adult-chat.example.org /cams/sex
+hot-sex.example.com /cams/free | www.porn-video.example.net /xxx/adult | sex-cams.example.org /adult/chat | escort-adult.example.net /sex | escort-sex.example.com /hot
+ads-track.example.com /click/banner | ads.example.net /banner/click?id | adserver.example.org /track/pixel.gif | track-click.example.com /redirect/ads
+click-tracker.example.net /redirect | popup-ads.example.com /click/pop | banner-ads.example.org /track | pixel-track.example.net /ads/pixel.gif
+spam-farm.example.org /links/spam | www.spam.example.net /win/free | link-farm.example.com /links/backlinks | seo-spam.example.net /backlinks
+seo-links.example.org /backlinks/buy | spam-mail.example.com /links/unsubscribe | payday-loan.example.com /loan/apply | fast-loan.example.net /payday/cash
+cash-loan.example.org /apply/payday | crypto-doubler.example.org /send/double | double-crypto.example.com /claim/cash | malware-host.example.com /payload.exe
+phishing-login.example.net /account/verify | verify-account.example.com /login/phishing | account-login.example.org /verify/payload.exe | free-malware.example.net /download/crack.exe
+warez-crack.example.org /keygen/download | keygen-crack.example.com /warez | torrent-warez.example.net /crack/keygen | torrent-porn.example.com /download/xxx
 """
 ALLOWED = """
-news.example.com /world/2024/article.html | blog.garden.example.org /posts/42 | www.library.example.net /catalogue/ | docs.example.com /en/guide
-m.weather.example.net /forecast/ | university.example.org /research/papers | shop.books.example.com /fiction/12 | museum.example.net /visit
-recipes.example.org /soup/lentil | www.city-council.example.com /meetings | wiki.example.net /wiki/Graph | forum.example.org /thread/981
-blog.travel.example.com /es/madrid | school.example.net /fr/cours | health.example.org /advice/sleep | science.example.com /de/physik
-www.mountain.example.net /routes/7 | radio.example.org /programme | theatre.example.com /tickets | m.sports.example.net /results/1
-history.example.org /en/timeline | maths.example.com /lectures/3.html | www.bakery.example.net /about | music.example.com /albums
-code.example.org /project/readme | data.example.net /sets/climate | art.example.com /gallery/2 | www.railway.example.org /timetable
-m.thther.example.org /en/120 | blog.tionble.example.com /en/18804 | tionsh.example.net /fr/15421 | www.ththes.example.net /es/16810#top
-ththan.example.net /de/26591?page=2 | therha.example.net /en/12810/ | blog.theran.example.org /en/37800.html | m.thernd.example.com /de/20053
+news.example.com /world/2024/article.html | www.news.example.org /article/politics | daily-news.example.net /world/article | local-news.example.com /city/article.html
+blog.garden.example.org /posts/42 | garden.example.net /posts/plants | blog.travel.example.com /es/madrid | travel.example.org /posts/spain | www.travel-guide.example.net /guide/madrid
+library.example.net /catalogue/books | www.library.example.org /catalogue/ | books.example.com /catalogue/fiction | shop.books.example.com /fiction/12
+docs.example.com /en/guide | docs.example.org /guide/install | code.example.org /docs/readme | code.example.net /project/readme | project-docs.example.com /guide/project
+weather.example.net /forecast/ | m.weather.example.com /forecast/city | university.example.org /research/papers | www.university.example.com /lectures/maths
+maths.example.com /lectures/3.html | science.example.com /de/physik | science.example.org /research/physics | research.example.net /papers/2023 | school.example.net /fr/cours
+www.school.example.org /lectures/history | history.example.org /en/timeline | history-museum.example.com /visit/timeline | museum.example.net /visit | art-museum.example.org /gallery/visit
+art.example.com /gallery/2 | recipes.example.org /soup/lentil | www.recipes.example.net /bread/rye | bakery.example.net /about/bread | www.bakery.example.com /about
+city-council.example.com /meetings | www.city.example.org /council/meetings | wiki.example.net /wiki/Graph | wiki.example.org /wiki/History | forum.example.org /thread/981
+forum.garden.example.com /thread/plants | health.example.org /advice/sleep | health-advice.example.net /sleep/guide | mountain.example.net /routes/7 | www.mountain-routes.example.org /guide
+radio.example.org /programme | radio-news.example.com /programme/2 | theatre.example.com /tickets | www.theatre.example.net /programme/tickets | sports.example.net /results/1
+m.sports.example.org /results/city | music.example.com /albums | music.example.org /albums/reviews | railway.example.org /timetable | www.railway.example.net /timetable/city
+data.example.net /sets/climate | climate.example.org /data/papers | film-reviews.example.com /reviews/12 | film.example.net /reviews/2024
 """
 
 
@@ -75,14 +84,30 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return F.coalesce(*cases) if cases else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def features(host: str, path: str) -> np.ndarray:
-    """Bucket numbers of the character n-grams of both parts; the part is hashed with the n-gram."""
-    grams: set[bytes] = set()
-    for mark, part in ((b"h", host), (b"p", path)):
-        data = b"^" + part.encode("utf-8", "surrogatepass") + b"$"
-        for n in SIZES:
-            grams.update(mark + data[i : i + n] for i in range(len(data) - n + 1))
-    return np.array(sorted(zlib.crc32(g) % BUCKETS for g in grams), np.int64)
+def _grams(parts: Sequence[str], salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of all texts at once: the text that each character n-gram of its bytes between ^ and $ stands in, and the n-gram's bucket."""
+    data = [b"^" + p.encode("utf-8", "surrogatepass") + b"$" for p in parts]
+    values = np.frombuffer(b"".join(data), np.uint8).astype(np.uint32)
+    sizes = np.array([len(d) for d in data])
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(values))  # bytes up to the end of the text
+    owner = np.repeat(np.arange(len(data)), sizes)
+    owners, buckets = [], []
+    for n in SIZES:
+        h = np.full(max(len(values) - n + 1, 0), 0x811C9DC5 ^ (salt * 31 + n), np.uint32)
+        for j in range(n):
+            h = (h ^ values[j : len(h) + j]) * np.uint32(0x01000193)
+        inside = left[: len(h)] >= n
+        h = h[inside]
+        owners.append(owner[: len(inside)][inside])
+        buckets.append((((h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int64))
+    return np.concatenate(owners), np.concatenate(buckets)
+
+
+def features(hosts: Sequence[str], paths: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (url, bucket) of both parts; the part is hashed with the n-gram."""
+    one, two = _grams(hosts, 1), _grams(paths, 2)
+    found = np.unique(np.concatenate([one[0], two[0]]) << BITS | np.concatenate([one[1], two[1]]))
+    return found >> BITS, found & ((1 << BITS) - 1)
 
 
 @dataclass
@@ -90,11 +115,12 @@ class UrlModel:
     weights: np.ndarray
     bias: float
 
-    def probability(self, host: str, path: str) -> float:
-        """Of block, from 0 to 1."""
-        own = features(host, path)
-        z = self.bias + (self.weights[own].sum() / np.sqrt(len(own)) if len(own) else 0.0)
-        return float(1 / (1 + np.exp(-z)))
+    def probabilities(self, hosts: Sequence[str], paths: Sequence[str]) -> np.ndarray:
+        """Of block, from 0 to 1, by url."""
+        url, bucket = features(hosts, paths)
+        count = np.bincount(url, minlength=len(hosts))
+        z = self.bias + np.bincount(url, self.weights[bucket], len(hosts)) / np.sqrt(np.maximum(count, 1))
+        return 1 / (1 + np.exp(-z))
 
 
 def labelled() -> list[tuple[str, str, int]]:
@@ -109,9 +135,9 @@ def labelled() -> list[tuple[str, str, int]]:
 
 def train(rows: Sequence[tuple[str, str, int]], epochs: int = 60, rate: float = 0.5, decay: float = 1e-4) -> UrlModel:
     """Stochastic gradient descent in a fixed order; the same rows give the same model."""
-    weights, bias = np.zeros(BUCKETS), -1.0  # without evidence, allow
+    weights, bias = np.zeros(1 << BITS), -1.0  # without evidence, allow
     rng = np.random.default_rng(7)
-    data = [(features(h, p), y) for h, p, y in rows]
+    data = [(features([h], [p])[1], y) for h, p, y in rows]
     for epoch in range(epochs):
         step = rate / (1 + 0.05 * epoch)
         for i in rng.permutation(len(data)):
@@ -129,23 +155,28 @@ def default_model() -> UrlModel:
 
 
 def block_probability(model: UrlModel):
+    """A function of host, path and whether the url is to be judged at all; null where not."""
     weights, bias = model.weights.astype(np.float32), model.bias
 
     @F.pandas_udf(DoubleType())
-    def score(hosts, paths):
+    def score(hosts, paths, open_):
         import pandas as pd
 
-        m = UrlModel(weights, bias)
-        return pd.Series([m.probability(h or "", p or "") for h, p in zip(hosts, paths, strict=True)])
+        out = np.full(len(hosts), np.nan)
+        at = np.flatnonzero(open_.to_numpy(bool))
+        for begin in range(0, len(at), 4096):
+            own = at[begin : begin + 4096]
+            out[own] = UrlModel(weights, bias).probabilities(hosts.iloc[own].tolist(), paths.iloc[own].tolist())
+        return pd.Series(out)
 
     return score
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, model: UrlModel | None = None, threshold: float = 0.5) -> DataFrame:
-    """(id, host, path, rule, verdict, score) of every row: score is the model's probability of block."""
+    """(id, host, path, rule, verdict, score) of every row: score is the model's probability of block, null where a rule decides."""
     ship(pages.sparkSession)
     score = block_probability(model or default_model())
     split = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    judged = split.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("score", score("host", "path"))
+    judged = split.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("score", score("host", "path", F.col("hit").isNull()))
     verdict = F.coalesce(F.col("hit.verdict"), F.when(F.col("score") >= threshold, "block").otherwise("allow"))
-    return judged.select(id_col, "host", "path", F.col("hit.rule").alias("rule"), verdict.alias("verdict"), "score")
+    return judged.select(id_col, "host", "path", F.col("hit.rule").alias("rule"), verdict.alias("verdict"), F.when(F.col("hit").isNull(), F.col("score")).alias("score"))
