@@ -34,7 +34,7 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Characters of the texts that a task compares with a hub, or, on either side, of those left in large buckets; a longer text stands alone.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Members of a bucket whose pairs are listed when components are left; larger ones are compared in blocks.
 SMALL = 8
 #: Classes of more than this share of the rows are joined without a shuffle.

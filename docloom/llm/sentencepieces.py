@@ -26,10 +26,11 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -40,7 +41,7 @@ NBEST = 3
 U = np.uint64
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Units that a worker remembers; it then starts anew.
-REMEMBER = 400_000
+REMEMBER = 150_000
 LONG = 48
 
 
@@ -123,6 +124,15 @@ class Vocabulary:
         return found
 
 
+class Edit(NamedTuple):
+    """Where a segmentation deviates from the best: in which unit, from which piece on, instead of how many pieces, by which ids."""
+
+    unit: int
+    first: int
+    pieces: int
+    ids: tuple[int, ...]
+
+
 def units_of(text: str) -> list[str]:
     """The text with spaces as marks and one mark before it, cut into units; the empty text has none."""
     if not text:
@@ -232,24 +242,20 @@ class Encoder:
             self.deviations[key] = self.v.search(unit, n)
         return self.deviations[key]
 
-    def encode(self, texts: Sequence[str], n: int = NBEST) -> Iterator[tuple[list[float], list[np.ndarray]]]:
-        """For each text: the scores and the ids of its n best segmentations, best first; fewer if it has fewer."""
+    def encode(self, texts: Sequence[str], n: int = NBEST) -> Iterator[tuple[list[float], np.ndarray, list[list[Edit]], list[str]]]:
+        """For each text: the scores of its n best segmentations, best first, fewer if it has fewer; the ids of the best; how each of them
+        deviates from it; and the text's units."""
         for part in tk.pieces(texts, 300_000):
             cut = [units_of(t) for t in texts[part]]
             self.learn(list(dict.fromkeys(u for units in cut for u in units)))
             for units in cut:
                 if not units:
-                    yield [0.0], [np.zeros(0, np.int32)]
+                    yield [0.0], np.zeros(0, np.int32), [[]], units
                     continue
                 data, best, loss = zip(*map(self.known.__getitem__, units), strict=True)
                 scores, ways = self._merge(units, np.array(loss), float(sum(best)), n)
-                ids = []
-                for way in ways:  # the best way but for a few units
-                    own = list(data) if way else data
-                    for u, other in way:
-                        own[u] = np.array(other, np.int32).tobytes()
-                    ids.append(np.frombuffer(b"".join(own), np.int32))
-                yield scores, ids
+                edits = [[Edit(u, sum(map(len, data[:u])) // 4, len(data[u]) // 4, other) for u, other in sorted(way)] for way in ways]
+                yield scores, np.frombuffer(b"".join(data), np.int32), edits, units
 
     def _merge(self, units: Sequence[str], loss: np.ndarray, total: float, n: int) -> tuple[list[float], list[list[tuple[int, tuple[int, ...]]]]]:
         m = min(n - 1, len(units))
@@ -267,22 +273,29 @@ class Encoder:
 
     def nbest_ids(self, text: str, n: int = NBEST) -> list[tuple[float, list[int]]]:
         """The n best segmentations of one text, best first."""
-        ((scores, ids),) = self.encode([text], n)
-        return [(score, own.tolist()) for score, own in zip(scores, ids, strict=True)]
+        ((scores, best, edits, _),) = self.encode([text], n)
+        out = []
+        for score, own in zip(scores, edits, strict=True):
+            ids = best.tolist()
+            for e in reversed(own):
+                ids[e.first : e.first + e.pieces] = e.ids
+            out.append((score, ids))
+        return out
 
 
 def decode(vocabulary: Vocabulary, ids: Sequence[int]) -> str:
-    """The text of a segmentation. Unknown ids raise an IndexError."""
-    return decoder(vocabulary)(ids)
+    """The text of a segmentation, without the space that it begins with. Unknown ids raise an IndexError."""
+    return decoder(vocabulary)(ids)[1:]
 
 
 def decoder(vocabulary: Vocabulary):
+    """A function that turns ids into what they stand for."""
     surface = [p.replace(MARK, " ").encode() if vocabulary.usable[i] else b"" for i, p in enumerate(vocabulary.pieces)]
     for b, i in enumerate(vocabulary.byte_ids):
         surface[i] = bytes([b])
 
     def run(ids: Sequence[int]) -> str:
-        return b"".join(map(surface.__getitem__, ids))[1:].decode()
+        return b"".join(map(surface.__getitem__, ids)).decode()
 
     return run
 
@@ -290,11 +303,12 @@ def decoder(vocabulary: Vocabulary):
 _encoders: dict[str, tuple[Encoder, object]] = {}
 
 
-ADDED = ("n_pieces int", "piece_ids array<int>", "nbest_scores array<double>", "nbest_ids array<array<int>>", "roundtrip boolean")
+ADDED = ("n_pieces int", "piece_ids array<int>", "nbest_scores array<double>", "nbest_edits array<array<struct<first:int,pieces:int,ids:array<int>>>>", "roundtrip boolean")
 
 
 def encode_column(docs: DataFrame, model_path: str, n: int = NBEST, text_col: str = "text") -> DataFrame:
-    """docs with n_pieces and piece_ids (of the best segmentation), nbest_scores and nbest_ids (of all n), and roundtrip, whether all n decode to the text.
+    """docs with n_pieces and piece_ids (of the best segmentation), nbest_scores, nbest_edits (how each of the n deviates from the best: for a few units
+    the ids instead of some pieces; see nbest_ids), and roundtrip, whether the best decodes to the text and the others' units to the same as the best's.
 
     These names replace equal ones of the input. The model file is read on the driver and its pieces are sent along.
     """
@@ -306,6 +320,16 @@ def encode_column(docs: DataFrame, model_path: str, n: int = NBEST, text_col: st
     return source.mapInArrow(partial(_encode_batches, vocabulary, model_path, n, source.columns.index(text_col), [*source.columns, *new]), schema)
 
 
+def nbest_ids(best: str = "piece_ids", edits: str = "nbest_edits") -> Column:
+    """The ids of all n best segmentations, as an array of arrays."""
+
+    def apply(ids: Column, e: Column) -> Column:
+        rest = F.slice(ids, e["first"] + e["pieces"] + 1, F.greatest(F.size(ids) - e["first"] - e["pieces"], F.lit(0)))
+        return F.concat(F.slice(ids, F.lit(1), e["first"]), e["ids"], rest)
+
+    return F.transform(edits, lambda own: F.aggregate(F.reverse(own), F.col(best), apply))
+
+
 def decode_column(docs: DataFrame, model_path: str, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
     """docs with the text of each row's piece ids; null ids give null. An equal name of the input is replaced."""
     ship(docs.sparkSession)
@@ -316,36 +340,30 @@ def decode_column(docs: DataFrame, model_path: str, ids_col: str = "piece_ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = decoder(vocabulary)
         for b in batches:
-            texts = [None if ids is None else back(ids) for ids in b.column(at).to_pylist()]
+            texts = [None if ids is None else back(ids)[1:] for ids in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], columns)
 
     return source.mapInArrow(run, source.withColumn(text_col, F.lit(None).cast("string")).schema)
 
 
-def _lists(rows: Sequence[np.ndarray]) -> pa.ListArray:
-    offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([len(x) for x in rows], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)))
-
-
 def _encode_batches(vocabulary: Vocabulary, name: str, n: int, at: int, columns: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A function of the module, so that a Python worker keeps its encoder from task to task."""
     if name not in _encoders:
         _encoders[name] = (Encoder(vocabulary), decoder(vocabulary))
     encoder, back = _encoders[name]
+    kind = pa.list_(pa.list_(pa.struct([("first", pa.int32()), ("pieces", pa.int32()), ("ids", pa.list_(pa.int32()))])))
     for batch in batches:
         for begin in range(0, batch.num_rows, 1000):
             b = batch.slice(begin, 1000)
             texts = tk.text_list(b.column(at))
-            scores, ids = [], []
-            for ranked, own in encoder.encode(texts, n):
-                scores.append(ranked)
+            ids, scores, changes, same = [], [], [], []
+            for text, (ranked, own, edits, units) in zip(texts, encoder.encode(texts, n), strict=True):
                 ids.append(own)
-            flat = [x for own in ids for x in own]
-            counts = np.append(0, np.cumsum([len(own) for own in ids])).astype(np.int32)
-            same = [all(back(x.tolist()) == text for x in own) for text, own in zip(texts, ids, strict=True)]
-            best = [own[0] for own in ids]
-            sizes = np.array([len(x) for x in best], np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(sizes), _lists(best), pa.array(scores, pa.list_(pa.float64())), pa.ListArray.from_arrays(pa.array(counts), _lists(flat)), pa.array(same, pa.bool_())], columns
-            )
+                scores.append(ranked)
+                changes.append([[{"first": e.first, "pieces": e.pieces, "ids": e.ids} for e in way] for way in edits])
+                surface = [(units[e.unit].replace(MARK, " ").replace(LITERAL, MARK), e.ids) for way in edits for e in way]
+                same.append(back(own.tolist())[1:] == text and all(back(x) == u for u, x in surface))
+            sizes = np.array([len(x) for x in ids], np.int32)
+            offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes), lists, pa.array(scores, pa.list_(pa.float64())), pa.array(changes, kind), pa.array(same, pa.bool_())], columns)

@@ -65,12 +65,15 @@ class Workspace:
             self._remove(df._docloom_path)
 
     def _remove(self, path: str) -> None:
-        try:
-            jvm = self.spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session may have ended before
-            pass
+        _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may have ended before
+        pass
 
 
 def ship(spark: SparkSession) -> None:
@@ -83,7 +86,9 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(buffer, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
-    target = f"{shared_dir(spark)}/package-{uuid.uuid4().hex}/docloom_package.zip"
+    folder = f"{shared_dir(spark)}/package-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, folder)
+    target = f"{folder}/docloom_package.zip"
     path = context._jvm.org.apache.hadoop.fs.Path(target)
     stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
     try:
