@@ -96,13 +96,96 @@ cc-by-sa ; creative commons ; creative commons attribution share ?alike
 cc-by ; creative commons ; creative commons attribution
 public-domain ; domain ; public domain
 proprietary ; proprietary ; proprietary license
+elastic-2.0 ; elastic license ; elastic license( version| v)? 2( 0)?
+elastic ; elastic license ; elastic license
+busl-1.1 ; business source ; business source license( version| v)? 1 1
+busl ; business source ; business source license
+sspl-1.0 ; server side public ; server side public license( version| v)?( 1( 0)?)?
+ms-pl ; microsoft public ; microsoft public license
+ms-rl ; microsoft reciprocal ; microsoft reciprocal license
+ncsa ; illinois ; university of illinois( ncsa)?( open source)? license
+upl-1.0 ; universal permissive ; universal permissive license
+blueoak-1.0 ; blue oak ; blue oak model license
+hpnd ; historical permission ; historical permission notice and disclaimer
+afl ; academic free ; academic free license
+osl ; open software ; open software license
+apsl ; apple public ; apple public source license
+ibm-public ; ibm public ; ibm public license
+sun-public ; sun public ; sun public license
+nokia ; nokia ; nokia open source license
+cecill ; cecill ; cecill( free software)? licen[cs]e
+lppl ; latex project ; latex project public license
+vim ; vim license ; vim license
+curl ; curl license ; curl license
+libpng ; libpng license ; libpng license
+ijg ; jpeg group ; independent jpeg group license
+bzip2 ; bzip2 ; bzip2( libbzip2)? license
+tcl ; tcl ; tcl( tk)? license
+unicode ; unicode license ; unicode license( agreement)?
+w3c ; w3c ; w3c software( and document)?( notice and)? license
+zope ; zope public ; zope public license
+cddl-1.0 ; development and distribution ; common development and distribution license( version)? 1 0
+eupl-1.2 ; union public ; european union public licen[cs]e( version| v)? 1 2
+artistic-2.0 ; artistic license ; artistic license( version)? 2( 0)?
+polyform ; polyform ; polyform (noncommercial|small business|shield|strict|perimeter)( license)?
+commons-clause ; commons clause ; commons clause
+odc-by ; commons attribution ; open data commons attribution license
+pddl ; public domain dedication ; (open data commons )?public domain dedication( and)? license
+openrail ; rail ; (open )?rail( m)? license
+llama ; community license ; llama( [0-9])?( [0-9])? community license
+"""
+
+# Short names as label, keyword, pattern; they count where something says that they are meant, and those of the second table anywhere.
+SHORT_NAMES = """
+mit ; mit ; mit
+apache-2.0 ; apache ; apache 2( 0)?
+apache ; apache ; apache
+bsd ; bsd ; bsd
+isc ; isc ; isc
+gpl-2.0 ; gpl ; (gnu )?gpl( version)? 2( 0)?( only| or later| or any later version)?
+gpl-3.0 ; gpl ; (gnu )?gpl( version)? 3( 0)?( only| or later| or any later version)?
+gpl ; gpl ; (the )?(gnu )?gpl
+lgpl-2.1 ; lgpl ; (gnu )?lgpl( version)? 2 1( only| or later)?
+lgpl-3.0 ; lgpl ; (gnu )?lgpl( version)? 3( 0)?( only| or later)?
+lgpl ; lgpl ; (the )?(gnu )?lgpl
+agpl-3.0 ; agpl ; (gnu )?agpl( version)? 3( 0)?( only| or later)?
+agpl ; agpl ; (the )?(gnu )?agpl
+mpl-2.0 ; mpl ; mpl 2( 0)?
+mpl ; mpl ; mpl
+epl-2.0 ; epl ; epl 2( 0)?
+epl ; epl ; epl
+cddl ; cddl ; cddl
+eupl ; eupl ; eupl
+wtfpl ; wtfpl ; the wtfpl
+ofl-1.1 ; ofl ; (sil )?ofl( 1 1)?
+odbl ; odbl ; odbl
+zlib ; zlib ; zlib
+boost ; boost ; boost
+sspl-1.0 ; sspl ; sspl( v?1)?
+busl ; busl ; busl( 1 1)?
+"""
+PLAIN_NAMES = """
+gpl-2.0 ; gplv2 ; gplv2( only| or later| or any later version)?
+gpl-3.0 ; gplv3 ; gplv3( only| or later| or any later version)?
+gpl-2.0 ; gpl v2 ; gpl v2( only| or later)?
+gpl-3.0 ; gpl v3 ; gpl v3( only| or later)?
+lgpl-2.1 ; lgplv2 ; lgplv2( 1)?( only| or later)?
+lgpl-3.0 ; lgplv3 ; lgplv3( only| or later)?
+lgpl ; lgpl ; (gnu )?lgpl
+agpl-3.0 ; agplv3 ; agplv3( only| or later)?
+agpl ; agpl ; (gnu )?agpl
+gpl ; gnu gpl ; gnu gpl
+mpl-2.0 ; mplv2 ; mplv2
+apache-2.0 ; alv2 ; alv2
+bsd-3-clause ; 3 clause ; bsd 3 clause
+bsd-2-clause ; 2 clause ; bsd 2 clause
+dual ; dual licensed ; dual licensed
 """
 
 # What may stand before a name, as pattern, priority (smaller is better) and weight.
 FRAMES = (
     (r"(licen[cs]ed|released|distributed|published|available|provided) under (the |an? )?(terms of (the )?)?({name})", 1, 0.95),
-    (r"(use of this \w+ is governed by|subject to|under) (the )?(terms (and conditions )?of (the )?)?({name})", 2, 0.9),
-    (r"spdx license identifier ({name})", 1, 0.99),
+    (r"(use of this \w+ is governed by|subject to|under|license|licence) (the )?(terms (and conditions )?of (the )?)?({name})", 2, 0.9),
     (r"({name})", 3, 0.7),
 )
 
@@ -121,6 +204,54 @@ gpl-text ; free software ; this program is free software you can redistribute it
 public-domain ; domain ; (dedicated|released) (in)?to the public domain ; 0.9
 no-derivatives ; reproduced ; (may not|must not) be reproduced( in any form)? ; 0.6
 confidential ; confidential ; proprietary and confidential ; 0.7
+mit-text ; above copyright ; the above copyright notice and this permission notice shall be included in all copies or substantial portions ; 0.95
+mit-text ; noninfringement ; merchantability fitness for a particular purpose and noninfringement ; 0.8
+apache-text ; compliance ; you may not use this file except in compliance with the license ; 0.95
+apache-text ; unless required ; unless required by applicable law or agreed to in writing ; 0.9
+apache-text ; conditions of any kind ; without warranties or conditions of any kind( either express or implied)? ; 0.9
+apache-text ; apache org licenses ; www apache org licenses license 2 0 ; 0.95
+bsd-text ; redistributions ; redistributions of source code must retain the above copyright notice ; 0.95
+bsd-text ; redistributions ; redistributions in binary form must reproduce the above copyright notice ; 0.95
+bsd-3-text ; endorse ; may be used to endorse or promote products derived from this software ; 0.95
+bsd-text ; consequential ; (direct )?indirect incidental special exemplary or consequential damages ; 0.8
+bsd-4-text ; advertising ; all advertising materials mentioning features or use of this software ; 0.95
+gpl-text ; any later ; either version [0-9] of the license or( at your option)? any later version ; 0.9
+gpl-text ; hope that it will be useful ; in the hope that it will be useful but without any warranty ; 0.95
+gpl-text ; merchantability ; implied warranty of merchantability or fitness for a particular purpose ; 0.8
+gpl-text ; received a copy ; you should have received a copy of the gnu (lesser |affero |library )?general public license ; 0.95
+gpl-text ; www gnu org licenses ; www gnu org licenses ; 0.9
+gpl-text ; free software foundation ; published by the free software foundation ; 0.85
+mpl-text ; source code form ; this source code form is subject to the terms of the mozilla public license ; 0.98
+mpl-text ; mozilla org ; (http|https) mozilla org mpl 2 0 ; 0.95
+epl-text ; accompanying materials ; this program and the accompanying materials are made available under the terms ; 0.9
+isc-text ; disclaims all warranties ; the author disclaims all warranties with regard to this software ; 0.9
+zlib-text ; misrepresented ; the origin of this software must not be misrepresented ; 0.95
+zlib-text ; plainly marked ; altered source versions must be plainly marked as such ; 0.95
+boost-text ; obtaining a copy ; to any person or organization obtaining a copy of the software ; 0.95
+unlicense-text ; unencumbered ; this is free and unencumbered software released into the public domain ; 0.98
+wtfpl-text ; do what the ; do what the (fuck|f ck) you want to ; 0.95
+ofl-text ; font software ; the font software may be modified altered or added to ; 0.9
+cc0-text ; waived ; waived all copyright and related or neighboring rights ; 0.95
+cc-text ; creativecommons org ; creativecommons org licenses ; 0.9
+cc-text ; copy and redistribute ; (free to )?copy and redistribute the material in any medium or format ; 0.85
+cc-text ; remix ; remix transform and build upon the material ; 0.85
+bsl-text ; www boost org ; www boost org license 1 0 txt ; 0.95
+artistic-text ; standard version ; freely available in the standard version ; 0.7
+public-domain ; copyright restrictions ; no known copyright restrictions ; 0.6
+patent ; patent license ; grant of patent license ; 0.6
+eula ; end user ; end user licen[cs]e agreement ; 0.7
+eula ; by installing ; by installing( or)?( using)? (the|this) software you agree ; 0.8
+proprietary ; trade secrets ; contains( confidential and)? proprietary( information)? and trade secrets ; 0.7
+proprietary ; unauthorized ; unauthorized (copying|use|reproduction|distribution) of this (file|software|document) ; 0.8
+proprietary ; prior written ; without( the)?( express)? prior written (permission|consent) ; 0.6
+non-commercial ; commercial ; for non ?commercial (use|purposes)( only)? ; 0.6
+non-commercial ; evaluation ; for evaluation purposes only ; 0.6
+research ; research ; for research( use| purposes) only ; 0.6
+copyright ; copyrighted ; copyrighted material ; 0.5
+copyright ; copyright ; copyright c ; 0.4
+trademark ; trademarks ; registered trademarks? of ; 0.4
+redistribution ; redistributed ; may be( freely)? redistributed ; 0.5
+permission ; with permission ; (reprinted|used|reproduced) with permission ; 0.5
 """
 
 
@@ -159,15 +290,57 @@ postgresql ; postgresql
 ofl-1.1 ; ofl 1 1
 odbl ; odbl 1 0
 cc0 ; cc0 1 0
+0bsd ; 0bsd
+elastic-2.0 ; elastic 2 0
+busl-1.1 ; busl 1 1
+sspl-1.0 ; sspl 1 0
+ms-pl ; ms pl
+ms-rl ; ms rl
+ncsa ; ncsa
+upl-1.0 ; upl 1 0
+blueoak-1.0 ; blueoak 1 0 0
+hpnd ; hpnd
+afl ; afl [123] [012]
+osl ; osl [123] [01]
+apsl ; apsl [12] [012]
+cecill ; cecill( b| c)?( 2 [01])?
+lppl ; lppl 1 [0123]c?
+vim ; vim
+curl ; curl
+libpng ; libpng( 2 0)?
+ijg ; ijg
+bzip2 ; bzip2 1 0 [56]
+tcl ; tcl
+unicode ; unicode (3 0|dfs 201[56])
+w3c ; w3c( 20150513)?
+zpl ; zpl [12] [01]
+cc-by ; cc by [1234] 0
+cc-by-sa ; cc by sa [1234] 0
+cc-by-nc ; cc by nc [1234] 0
+cc-by-nd ; cc by nd [1234] 0
+cc-by-nc-sa ; cc by nc sa [1234] 0
+cc-by-nc-nd ; cc by nc nd [1234] 0
+odc-by ; odc by 1 0
+pddl ; pddl 1 0
+gpl-1.0 ; gpl 1 0( only| or later)?
+mpl-1.0 ; mpl 1 0
+apache-1.0 ; apache 1 0
+x11 ; x11
+unlicense ; unlicense
+wtfpl ; wtfpl
 """
 
 
 def rule_table() -> list[Rule]:
-    """All signatures, best first: each name within each frame, the SPDX ids, then the notices."""
+    """All signatures, best first: each name within each frame, short names within those that say that a license is meant, the SPDX ids, then the notices."""
     rules = []
     for line in NAMES.strip().splitlines():
         label, keyword, name = line.split(" ; ")
         rules += [Rule(label, keyword, frame.replace("{name}", name), priority, weight) for frame, priority, weight in FRAMES]
+    for table, frames in ((SHORT_NAMES, FRAMES[:2]), (PLAIN_NAMES, FRAMES[-1:])):
+        for line in table.strip().splitlines():
+            label, keyword, name = line.split(" ; ")
+            rules += [Rule(label, keyword, frame.replace("{name}", name), priority, weight) for frame, priority, weight in frames]
     for line in SPDX.strip().splitlines():
         label, name = line.split(" ; ")
         rules.append(Rule(label, "spdx license identifier", f"spdx license identifier {name}", 1, 0.99))
