@@ -4,11 +4,11 @@ Base spans are the leftmost non-overlapping matches of the contract's patterns,
 spans: written-out e-mail addresses, phone numbers without a plus, cards with other separators, IPv6 addresses, and secrets.
 On each proposed or base span labelers vote yes, no or nothing: the strict pattern, a checksum, gazetteers (endings of domains, prefixes of cards and keys), words before the
 span, and its edges. Over the counts of all vote patterns of the corpus, expectation-maximisation estimates how often each labeler says what of true and of false
-spans (Dawid and Skene's model, by kind). Its posteriors train the final classifier, logistic regression on the kind, the shape and the context of a span.
+spans (Dawid and Skene's model, by kind). Its posteriors train the final classifier, logistic regression on the kind, the shape and the context of a span and on its checksum and gazetteers.
 Proposed spans that it accepts and that overlap no base span are added; base spans always stay.
 
 Defined results: null and empty texts have no spans, and the digest of the empty string; repeated rows give equal results; an empty table gives no rows, and no
-votes give a classifier that adds nothing; other columns are not read. Matching is linear in the text, also for long runs of digits or signs.
+votes give a classifier that adds nothing; other columns are not read. Of spans proposed at one place the kind listed first counts. Matching is linear in the text, also for long runs of digits or signs.
 """
 
 from __future__ import annotations
@@ -161,14 +161,14 @@ def votes(text: str, span: Span, strict: bool) -> tuple[int, ...]:
 
 
 def shape_of(text: str, span: Span) -> str:
-    """The span with runs of digits, small and capital letters as one sign and their length, at most 32 characters."""
-    body = text[span.start : span.end][:128]
-    runs = re.sub(r"[0-9]+|[a-z]+|[A-Z]+", lambda m: ("d" if m[0].isdigit() else "a" if m[0].islower() else "A") + str(min(len(m[0]), 9)), body)
-    return runs[:32]
+    """The whole span with runs of digits, small and capital letters as one sign and their length, from 9 on as 9."""
+    return re.sub(r"[0-9]+|[a-z]+|[A-Z]+", lambda m: ("d" if m[0].isdigit() else "a" if m[0].islower() else "A") + str(min(len(m[0]), 9)), text[span.start : span.end])
 
 
-def feature_ids(kind: str, shape: str, context: str) -> list[int]:
-    names = [kind, f"{kind}|{shape}", f"{kind}|c|{context}", *(f"{kind}|{shape[i : i + 4]}" for i in range(0, len(shape) - 3, 2))]
+def feature_ids(kind: str, shape: str, context: str, check: int, known: int) -> list[int]:
+    """Of the kind, the shape and its distinct parts, the word before, and what the checksum and the gazetteer say."""
+    parts = dict.fromkeys(shape[i : i + 4] for i in range(0, len(shape) - 3, 2))
+    names = [kind, f"{kind}|{shape}", f"{kind}|c|{context}", f"{kind}|s|{check}", f"{kind}|g|{known}", f"{kind}|sg|{check}|{known}", *(f"{kind}|{x}" for x in parts)]
     return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % FEATURES for n in names]
 
 
@@ -203,15 +203,19 @@ class SpanModel:
     weights: np.ndarray
     bias: float = -2.0
 
-    def probability(self, kind: str, shape: str, context: str) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[feature_ids(kind, shape, context)].sum(), -30, 30))))
+    def probability(self, kind: str, shape: str, context: str, check: int, known: int) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[feature_ids(kind, shape, context, check, known)].sum(), -30, 30))))
+
+    def accepts(self, text: str, span: Span) -> bool:
+        said = votes(text, span, False)
+        return self.probability(KINDS[span.rank], shape_of(text, span), _context_key(text, span), said[1], said[2]) >= ACCEPT
 
 
 def train(groups: Sequence[tuple[str, tuple[int, ...], str, str, int]], posterior: dict[tuple[str, tuple[int, ...]], float], epochs: int = 30) -> SpanModel:
     """Logistic regression on posteriors; a group (kind, votes, shape, context, count) weighs by the logarithm of its count."""
     model = SpanModel(np.zeros(FEATURES))
     rng = np.random.default_rng(4)
-    data = [(feature_ids(k, s, c), posterior[k, v], min(np.log1p(n), 5.0)) for k, v, s, c, n in sorted(groups)]
+    data = [(feature_ids(k, s, c, v[1], v[2]), posterior[k, v], min(np.log1p(n), 5.0)) for k, v, s, c, n in sorted(groups)]
     for epoch in range(epochs):
         for i in rng.permutation(len(data)):
             ids, y, weight = data[i]
@@ -249,7 +253,7 @@ def fit(docs: DataFrame) -> SpanModel:
 def all_spans(text: str, model: SpanModel) -> tuple[list[Span], list[Span]]:
     """Base spans, and these with the accepted ones, by start and kind."""
     base = base_spans(text)
-    more = [s for s in proposed_spans(text, base) if model.probability(KINDS[s.rank], shape_of(text, s), _context_key(text, s)) >= ACCEPT]
+    more = [s for s in proposed_spans(text, base) if model.accepts(text, s)]
     return base, sorted([*base, *more])
 
 
