@@ -162,7 +162,11 @@ def test_encoding_restores_odd_texts(odd):
     found = out.collect()
     assert len(found) == odd.count() and all(r["roundtrip"] and r["n_pieces"] == len(r["piece_ids"]) for r in found)
     assert all(list(r["nbest_scores"]) == sorted(r["nbest_scores"], reverse=True) for r in found)
-    assert all(len(r["nbest_ids"]) == len(r["nbest_scores"]) and r["nbest_ids"][0] == r["piece_ids"] and len({*map(tuple, r["nbest_ids"])}) == len(r["nbest_ids"]) for r in found)
+    all_ids = out.withColumn("nbest_ids", sentencepieces.nbest_ids()).collect()
+    encoder = sentencepieces.Encoder(sentencepieces.Vocabulary.load(TOKENIZER))
+    assert all(r["nbest_ids"][0] == r["piece_ids"] and len({*map(tuple, r["nbest_ids"])}) == len(r["nbest_scores"]) for r in all_ids)
+    assert all(r["nbest_ids"] == [ids for _, ids in encoder.nbest_ids(r["text"] or "", 3)] for r in all_ids)
+    assert all(sentencepieces.decode(encoder.v, ids) == (r["text"] or "") for r in all_ids for ids in r["nbest_ids"])
     back = sentencepieces.decode_column(out.withColumn("decoded", out["id"]), TOKENIZER).collect()
     assert all(r["decoded"] == (r["text"] or "") for r in back) and len(back) == len(found)
     assert sentencepieces.encode_column(odd.limit(0), TOKENIZER).count() == 0
@@ -252,6 +256,23 @@ def test_em_trusts_consistent_labelers():
     assert post["phone", (1, 1, 1, 0, 1)] > 0.95 and post["phone", (0, -1, -1, -1, -1)] < 0.05
 
 
+def test_span_classifier_hears_the_checksum(spark):
+    """Cards with other separators, of equal shape: those that pass the checksum are added, those that fail aren't."""
+    rng = random.Random(2)
+
+    def card(ok):
+        while True:
+            d = "4" + "".join(rng.choice("0123456789") for _ in range(15))
+            if pii.luhn(d) == ok:
+                return "/".join(d[i : i + 4] for i in range(0, 16, 4))
+
+    rows = [(i, f"{'my card is' if ok else 'order number'} {card(ok)} today") for i, ok in enumerate([True, False] * 60)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    new = [(i, f"see {card(i % 2 == 0)} here") for i in range(40)]
+    found = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(new, "doc_id bigint, text string"), model).collect()}
+    assert sum((found[i] != "") == (i % 2 == 0) for i in found) >= 38
+
+
 def test_redaction():
     assert pii.redact("mail a@b.co, ip 1.2.3.4", pii.SpanModel(np.zeros(pii.FEATURES))) == "mail [email], ip [ip]"
 
@@ -410,9 +431,28 @@ def test_spdx_tags(spark):
     check_licenses(df)
 
 
+def test_license_headers(spark):
+    """Real phrases and the labels that they must have, among others."""
+    texts = {
+        "Licensed under MIT.": "mit", "Released under the MIT license": "mit", "This is GPLv2 or later": "gpl-2.0", "available under the LGPL": "lgpl", "License: Apache-2.0": "apache-2.0", "uses the Elastic License 2.0": "elastic-2.0",
+        "Business Source License 1.1": "busl-1.1", "Server Side Public License, version 1": "sspl-1.0", "the Microsoft Public License (Ms-PL)": "ms-pl", "Licensed under the terms of the GNU GPL version 3": "gpl-3.0",
+        "you may not use this file except in compliance with the License": "apache-text", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-text",
+        "Redistributions of source code must retain the above copyright notice": "bsd-text", "This is free and unencumbered software released into the public domain.": "unlicense-text",
+        "in the hope that it will be useful, but WITHOUT ANY WARRANTY": "gpl-text", "// SPDX-License-Identifier: Elastic-2.0": "elastic-2.0", "SPDX-License-Identifier: CC-BY-4.0": "cc-by", "SPDX-License-Identifier: BUSL-1.1": "busl-1.1",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan_licenses(df).collect()}
+    assert [(t, found[i]) for i, (t, label) in enumerate(texts.items()) if label not in found[i]] == []
+    check_licenses(df)
+    plain = spark.createDataFrame([(1, "She took the mit and the bsd box; a license to fish, later on, with permission of the city.")], "doc_id bigint, text string")
+    assert licenses.scan_licenses(plain).first()["labels"] == ""
+
+
 def test_rules_hold_their_keyword():
     rules = licenses.rule_table()
-    assert len(rules) > 200 and all(r.keyword in r.pattern for r in rules)
+    tables = (licenses.NAMES, licenses.SHORT_NAMES, licenses.PLAIN_NAMES, licenses.NOTICES, licenses.SPDX)
+    assert len({line for t in tables for line in t.strip().splitlines()}) == sum(len(t.strip().splitlines()) for t in tables) > 250
+    assert len(rules) > 400 and all(r.keyword in r.pattern for r in rules)
 
 
 # 7
@@ -547,21 +587,71 @@ def test_url_model_on_left_out_rows():
 # 10
 
 
+def lexicon_of(counts, other):
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    hashes = tk.words([" ".join(order)])[0]
+    return order, lm_scoring.Lexicon.build(hashes, np.array([counts[w] for w in order]), other)
+
+
 def test_pseudo_likelihood_is_a_distribution():
-    lexicon = lm_scoring.Lexicon.build(np.array([11, 22, 33], np.uint64), np.array([5, 3, 2]), 4)
-    assert sum(np.exp(lexicon.shares[:3])) + 4 * np.exp(lexicon.shares[3]) == pytest.approx(len(set(lexicon.classes.tolist())))
-    net = lm_scoring.Network()
-    around = np.tile([1, 2, 3, 4], (lm_scoring.CLASSES, 1))
-    assert np.exp(net.log_probabilities(around, np.arange(lm_scoring.CLASSES))).sum() == pytest.approx(1, abs=1e-4)
+    rng = random.Random(3)
+    order, lexicon = lexicon_of({f"w{i}": 1 + 20_000 // (i + 1) for i in range(3000)}, 7)
+    net = lm_scoring.Network(lexicon)
+    context = [rng.choice(order) for _ in range(4)]
+    texts = [" ".join([*context[:2], w, *context[2:]]) for w in [*order, "unseen"]]
+    entries, inputs, offsets = lexicon.read(texts)
+    own = np.exp(net.log_probabilities(lm_scoring.windows(inputs, offsets), lexicon.classes[entries].astype(int), lexicon.cells[entries].astype(int)) + lexicon.shares[entries])[2::5]
+    assert own[:-1].sum() + 7 * own[-1] == pytest.approx(1, abs=1e-4)
+    assert len(np.unique(lexicon.classes.astype(int) * 64 + lexicon.cells)) > 1000  # most words have a cell of their own
+
+
+def test_log_probabilities_equal_plain_sums():
+    """One word after the other, in plain loops."""
+    order, lexicon = lexicon_of({f"w{i}": 900 // (i + 1) + 1 for i in range(400)}, 5)
+    net = lm_scoring.Network(lexicon, seed=4)
+    text = "w3 w200 new w7 w399 w1 w1"
+    entries, inputs, offsets = lexicon.read([text])
+    found = net.log_probabilities(lm_scoring.windows(inputs, offsets), lexicon.classes[entries].astype(int), lexicon.cells[entries].astype(int)) + lexicon.shares[entries]
+    for t, word in enumerate(text.split()):
+        h = net.shift.astype(float)
+        for j, p in enumerate((-2, -1, 1, 2)):
+            h = h + net.places[j][inputs[t + p] if 0 <= t + p < 7 else lm_scoring.INPUTS]
+        h = np.tanh(h)
+        at = entries[t]
+        c, cell = int(lexicon.classes[at]), int(lexicon.cells[at])
+        z = [float(h @ net.out[:, k]) + float(net.bias[k]) for k in range(64)]
+        real = [k for k in range(64) if (lexicon.classes == k).any()]
+        p = np.exp(z[c]) / sum(np.exp(z[k]) for k in real)
+        cells = sorted({int(x) for x, y in zip(lexicon.cells, lexicon.classes, strict=True) if y == c})
+        z2 = {k: float(h @ net.out2[:, k]) + float(net.bias2[c, k]) for k in cells}
+        p *= np.exp(z2[cell]) / sum(np.exp(x) for x in z2.values())
+        if word == "new":
+            p /= 5
+        else:
+            same = [i for i, e in enumerate(lexicon.find(tk.words([" ".join(order)])[0])) if (lexicon.classes[e], lexicon.cells[e]) == (c, cell)]
+            counts = {i: 900 // (i + 1) + 1 for i in same}
+            p *= counts[int(word[1:])] / sum(counts.values())
+        assert found[t] == pytest.approx(np.log(p), abs=1e-4), word
 
 
 def test_training_gradient():
-    net, rng = lm_scoring.Network(), np.random.default_rng(1)
-    around, target = rng.integers(0, 65, (500, 4)), rng.integers(0, 3, 500)
-    before = net.log_probabilities(around, target).mean()
+    _, lexicon = lexicon_of({f"w{i}": 900 // (i + 1) + 1 for i in range(400)}, 5)
+    net, rng = lm_scoring.Network(lexicon), np.random.default_rng(1)
+    entries = rng.integers(0, 400, 200)
+    around, classes, cells = rng.integers(0, 257, (200, 4)), lexicon.classes[entries].astype(int), lexicon.cells[entries].astype(int)
+    grads = net.gradient(around, classes, cells)
+    at = [*rng.choice(np.flatnonzero(np.abs(grads) > 1e-4), 40)]
+    for k in at:
+        old, sides = net.weights[k], []
+        for d in (0.02, -0.02):
+            net.weights[k] = old + d
+            sides.append(-net.log_probabilities(around, classes, cells).mean())
+        net.weights[k] = old
+        assert (sides[0] - sides[1]) / 0.04 == pytest.approx(grads[k], rel=0.05, abs=3e-5)
+    before = net.log_probabilities(around, classes, cells).mean()
     for _ in range(60):
-        net.step(around, target, 0.02)
-    assert net.log_probabilities(around, target).mean() > before + 1
+        net.step(around, classes, cells, 0.02)
+    assert net.log_probabilities(around, classes, cells).mean() > before + 1
 
 
 def test_lm_scores(documents, odd):
@@ -575,6 +665,14 @@ def test_lm_scores(documents, odd):
     assert lm_scoring.score(odd.limit(0), *lm_scoring.fit(odd.limit(0))).count() == 0
 
 
+def test_lm_scores_do_not_depend_on_partitions(documents, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_WORDS", 30_000)  # several shards
+    one, other = (lm_scoring.fit(documents.repartition(n)) for n in (1, 7))
+    assert np.array_equal(one[0].hashes, other[0].hashes) and one[1].weights == pytest.approx(other[1].weights, abs=1e-5)
+    scores = [{r["doc_id"]: r["log_likelihood"] for r in lm_scoring.score(documents, *m).collect()} for m in (one, other)]
+    assert scores[0] == pytest.approx(scores[1], rel=1e-5)
+
+
 # queries and the pipeline
 
 
