@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from . import workspace
 from .workspace import Workspace
 
-#: Rounds in which bucket members are compared with one other member, before what still stands apart is compared in full.
-STAR_ROUNDS = 3
-#: By round, what gives ids another order by exclusive or; the first keeps it.
-SALTS = (0, 0x5BD1E9955BD1E995, 0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)
+#: Rounds in which bucket members are compared with one other member go on while more than this share of the comparisons links, so many times at most,
+#: before what still stands apart is compared in full. Both only spare comparisons.
+WORTHWHILE, STAR_ROUNDS = 0.05, 12
 
 
 def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
@@ -48,19 +47,17 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _star(own: DataFrame, near: Callable[[Column, Column], Column] | None, r: int) -> DataFrame:
-    """For each member (key, id, comp) at most one candidate: of the members that stand for its buckets in round r, that of most buckets."""
-    salt = F.lit(SALTS[r])
-    rank = F.col("id").bitwiseXOR(salt)
-    if r == 0:  # all are components of their own, and a least long is all that is gathered
-        hubs = own.groupBy("key").agg(F.min(rank).alias("rank")).select("key", "rank", F.col("rank").bitwiseXOR(salt).alias("comp2"))
-    else:
-        hubs = own.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "comp")).alias("c")).select("key", F.col("c.rank").alias("rank"), F.col("c.comp").alias("comp2"))
+    """For each member (key, id, comp) at most one candidate of another component, out of the members that were drawn by hash to stand for its buckets in round r: in the first
+    round that of most buckets, later one drawn by hash, so that a pair that isn't linked isn't taken again and again."""
+    drawn = F.min(F.struct(F.xxhash64("id", F.lit(r)).alias("rank"), "id", "comp")).alias("c")
+    hubs = own.groupBy("key").agg(drawn).select("key", F.col("c.id").alias("id2"), F.col("c.comp").alias("comp2"))
     pairs = own.join(hubs, "key").where("comp != comp2")
     if near is not None:
-        pairs = pairs.where(near(F.col("id"), F.col("rank").bitwiseXOR(salt)))
-    shared = pairs.groupBy("id", "comp", "rank", "comp2").agg(F.count(F.lit(1)).alias("n"))
-    best = shared.groupBy("id", "comp").agg(F.min(F.struct(-F.col("n"), "rank", "comp2")).alias("c")).select("id", "comp", "c.rank", "c.comp2")
-    return best.select("id", F.col("rank").bitwiseXOR(salt).alias("id2"), "comp", "comp2")
+        pairs = pairs.where(near(F.col("id"), F.col("id2")))
+    shared = pairs.groupBy("id", "comp", "id2", "comp2").agg(F.count(F.lit(1)).alias("n"))
+    order = -F.col("n") if r == 0 else F.xxhash64("id", "id2", F.lit(r))
+    best = shared.groupBy("id", "comp").agg(F.min(F.struct(order.alias("order"), "id2", "comp2")).alias("c"))
+    return best.select("id", "c.id2", "comp", "c.comp2")
 
 
 def link_buckets(
@@ -82,7 +79,9 @@ def link_buckets(
     """
     labels: DataFrame | None = None
     mixed: DataFrame | None = None
+    last = False
     for r in range(star_rounds + 1):
+        last = last or r == star_rounds
         if labels is None:
             own = members.withColumn("comp", F.col("id"))
         else:
@@ -95,10 +94,10 @@ def link_buckets(
                 ws.drop(old)
             if own.isEmpty():
                 break
-        if r == star_rounds and exhaust is not None:
+        if last and exhaust is not None:
             links = exhaust(own)
         else:
-            if r < star_rounds:
+            if not last:
                 pairs = _star(own, near, r)
             else:
                 other = own.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("comp").alias("comp2"))
@@ -109,12 +108,17 @@ def link_buckets(
             pairs = ws.save(pairs, "pairs")
             links = verify(pairs.select("a", "b", "hub")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         links = ws.save(links, "links")
-        if not (r == star_rounds and exhaust is not None):
+        found = links.count()
+        done = last
+        last = last or found <= WORTHWHILE * pairs.count()
+        if not (done and exhaust is not None):
             ws.drop(pairs)
-        if not links.isEmpty():
+        if found:
             merged = connected_components(ws, links).select("id", "label")
             labels = merged if labels is None else _relabelled(ws, labels, merged)
         ws.drop(links)
+        if done:
+            break
     if mixed is not None:
         ws.drop(mixed)
     return members.select("id", F.col("id").alias("label")).limit(0) if labels is None else labels
