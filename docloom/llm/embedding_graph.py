@@ -5,6 +5,7 @@ large for one task is dealt into pieces by hash. In every shard each node gets e
 nodes and of some distant ones, and edges back. A node's lists from all its shards are united. Every node is then
 a query in the shards of its nearest centroids, in all their pieces: a greedy beam search starts from the medoids of the shard (and from the query's own node
 where it is a member), and from all results over the threshold the search goes on as long as it finds more. Pairs are verified by cosine in double precision.
+Recall is audited in every run: if too few of the true links of a bounded sample of nodes were found, twice as many shards are searched.
 Connected nodes form a component.
 
 Defined results: null vectors, those with null or non-finite components and zero vectors link with nothing and stand alone; vectors of different lengths never link; rows
@@ -28,6 +29,8 @@ THRESHOLD = 0.9
 #: Rows of a shard on average, and at most; rows that centroids are fitted on.
 SHARD, LARGEST, SAMPLE = 2000, 3000, 20_000
 OVERLAP, PROBES = 2, 5
+#: Nodes whose links are also found by brute force, those with the smallest hashes, and the share of these that must be found.
+AUDITED, RECALL = 1000, 0.9
 DEGREE, POOL, ALPHA, BEAM, MEDOIDS = 24, 64, 1.2, 48, 8
 
 
@@ -182,14 +185,43 @@ def _matrix(column) -> np.ndarray:
     return np.stack([np.asarray(x, float) for x in column]) if len(column) else np.zeros((0, 1))
 
 
-def _links(ws: Workspace, nodes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b), a < b, of the linked nodes among (node, vector) of one length."""
+def _links(ws: Workspace, nodes: DataFrame, threshold: float) -> tuple[DataFrame, float]:
+    """(a, b), a < b, of the linked nodes among (node, vector) of one length, and the audited recall; more shards are searched while it is less than RECALL."""
     total = nodes.count()
     sample = hash_sample(nodes, "node", SAMPLE).select("vector").toArrow().column(0)
     fitted = unit(np.array(sample.combine_chunks().flatten(), float).reshape(len(sample), -1))
     centers = fit_centroids(fitted, max(1, min(-(-total // SHARD), len(fitted) // 4)))
     probes = min(PROBES, len(centers))
+    while True:
+        pairs = _search_shards(ws, nodes, centers, probes, threshold)
+        recall = _audit(nodes, pairs, threshold)
+        if recall >= RECALL or probes == len(centers):
+            return pairs, recall
+        ws.drop(pairs)
+        probes = min(2 * probes, len(centers))
 
+
+def _audit(nodes: DataFrame, pairs: DataFrame, threshold: float) -> float:
+    """The share of the true links of at most AUDITED nodes, found by brute force over all nodes, that the pairs hold. All pairs are verified, so that they hold no others."""
+    rows = hash_sample(nodes, "node", AUDITED).collect()
+    asked, wanted = np.array([r["node"] for r in rows], np.int64), unit(_matrix([r["vector"] for r in rows]))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(asked), np.int64)
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            for a in range(0, len(ids), 1000):
+                near = unit(_matrix(b.column(1).slice(a, 1000).to_pylist())) @ wanted.T >= threshold
+                total += (near & (ids[a : a + 1000, None] != asked[None, :])).sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array([int(total.sum())])], ["n"])
+
+    true = nodes.mapInArrow(count, "n bigint").agg(F.sum("n")).first()[0] or 0
+    chosen = F.broadcast(nodes.sparkSession.createDataFrame([(int(x),) for x in asked], "node bigint"))
+    found = sum(pairs.join(chosen, F.col(c) == F.col("node"), "left_semi").count() for c in ("a", "b"))
+    return min(found / true, 1.0) if true else 1.0
+
+
+def _search_shards(ws: Workspace, nodes: DataFrame, centers: np.ndarray, probes: int, threshold: float) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sims = unit(_matrix(b.column(1).to_pylist())) @ centers.T if b.num_rows else np.zeros((0, len(centers)))
@@ -247,20 +279,23 @@ def _links(ws: Workspace, nodes: DataFrame, threshold: float) -> DataFrame:
     keys = ("shard", "piece", "block")
     right = right.toDF(*right.columns)  # both sides come from one table
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(find, "a bigint, b bigint")
-    return ws.save(pairs.distinct(), "pairs")
+    pairs = ws.save(pairs.distinct(), "pairs")
+    ws.drop(dealt, lists)
+    return pairs
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row."""
+    """(vec_id, n_links, component_id, kept, audited_recall) of every row; the last, equal in all rows, is the least recall measured for any length of vectors."""
     spark = vectors.sparkSession
     ship(spark)
     ws = Workspace(spark, "vectors")
     source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     valid = ws.save(source.mapInArrow(_valid, source.schema), "valid")
     nodes = ws.save(valid.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
-    links = None
+    links, recall = None, 1.0
     for (length,) in nodes.select(F.size("vector")).distinct().collect():
-        found = _links(ws, nodes.where(F.size("vector") == length).select("node", "vector"), threshold)
+        found, audited = _links(ws, nodes.where(F.size("vector") == length).select("node", "vector"), threshold)
+        recall = min(recall, audited)
         links = found if links is None else links.unionByName(found)
     if links is None:
         links = spark.createDataFrame([], "a bigint, b bigint")
@@ -272,23 +307,4 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     known = known.select("vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "node").alias("component_id"))
     placed = valid.join(known, "vector").select("vec_id", "n_links", "component_id")
     alone = source.select("vec_id").exceptAll(valid.select("vec_id")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return placed.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
-
-
-def audit_recall(vectors: DataFrame, links: DataFrame, threshold: float = THRESHOLD, every: int = 100) -> float:
-    """The share of the true links of all rows with an id divisible by ``every`` that n_links of near_vectors' result counts; brute force, in blocks."""
-    ship(vectors.sparkSession)
-    rows = vectors.where(f"vec_id % {every} = 0 and embedding is not null").select("vec_id", "embedding").collect()
-    asked = np.array([r["vec_id"] for r in rows])
-    wanted = unit(_matrix([r["embedding"] for r in rows]))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = np.array(b.column(0).to_pylist())
-            near = unit(_matrix(b.column(1).to_pylist())) @ wanted.T >= threshold
-            near &= ids[:, None] != asked[None, :]
-            yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(near.sum(0))], ["vec_id", "true_links"])
-
-    true = vectors.select("vec_id", "embedding").where("embedding is not null").mapInArrow(count, "vec_id bigint, true_links bigint").groupBy("vec_id").agg(F.sum("true_links").alias("true_links"))
-    row = true.join(links, "vec_id").agg(F.sum("n_links").alias("found"), F.sum("true_links").alias("true_links")).first()
-    return row["found"] / row["true_links"] if row["true_links"] else 1.0
+    return placed.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))).withColumn("audited_recall", F.lit(recall))
