@@ -13,7 +13,7 @@ import regex
 import xxhash
 
 import corpus_pipeline
-from docloom.llm import bagminhash, decontam, embedding_graph, licenses, line_dedup, linking, lm_scoring, pii, quality, sentencepieces, urls
+from docloom.llm import bagminhash, decontam, embedding_graph, licenses, line_dedup, linking, lm_scoring, pii, quality, sentencepieces, urls, workspace
 from docloom.llm import textkit as tk
 from docloom.llm.queries import TOKENIZER, queries
 from docloom.llm.workspace import Workspace
@@ -458,7 +458,13 @@ def test_rules_hold_their_keyword():
 # 7
 
 
-def test_near_vectors_equal_brute_force(spark):
+@pytest.mark.parametrize("sizes", [None, (60, 40)])
+def test_near_vectors_equal_brute_force(spark, monkeypatch, sizes):
+    """At last with several shards, pieces of shards and blocks of queries."""
+    if sizes:
+        monkeypatch.setattr(embedding_graph, "SHARD", sizes[0])
+        monkeypatch.setattr(embedding_graph, "LARGEST", sizes[1])
+        monkeypatch.setattr(embedding_graph, "PROBES", 2)
     rng = np.random.default_rng(6)
     centers = rng.normal(size=(12, 16))
     near = np.concatenate([c + rng.normal(scale=0.15, size=(n, 16)) for c, n in zip(centers, [1, 2, 3, 5, 9, 40, 80, 2, 2, 2, 1, 1])])
@@ -472,11 +478,34 @@ def test_near_vectors_equal_brute_force(spark):
     found = embedding_graph.near_vectors(df)
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found.collect()}
     assert got == {i: (degree[i], group[i], group[i] == i) for i in group} | {None: (0, None, True)}
-    clean = spark.createDataFrame(data[: len(vectors)], "vec_id bigint, embedding array<double>, label int")
-    assert embedding_graph.audit_recall(clean, found, every=10) >= 0.9
+    assert {r[0] for r in found.select("audited_recall").distinct().collect()} == {1.0}
     assert embedding_graph.near_vectors(df.limit(0)).count() == 0
 
 
+def test_audit_counts_what_is_missed(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(40, 8))
+    rows = [(i, (base[i % 40] + rng.normal(scale=0.05, size=8)).tolist()) for i in range(200)]
+    nodes = spark.createDataFrame(rows, "node bigint, vector array<double>")
+    m = embedding_graph.unit(np.array([v for _, v in rows]))
+    links = [tuple(map(int, x)) for x in np.argwhere(np.triu(m @ m.T >= 0.9, 1))]
+    for kept in (links, links[::2], []):
+        pairs = spark.createDataFrame(kept, "a bigint, b bigint")
+        assert embedding_graph._audit(nodes, pairs, 0.9) == pytest.approx(len(kept) / len(links))
+
+
+def test_shuffled_sides_give_the_same(spark, monkeypatch):
+    """Joins that are sent to all executors while they are small, with no such limit."""
+    rng = random.Random(21)
+    base = [prose(rng, 14) for _ in range(30)]
+    rows = [(i, "\n".join([base[i % 30], base[i % 7] + " end", f"own line {i} {prose(rng, 6)}"])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    run = lambda: ({r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}, {r["doc_id"]: r["group_id"] for r in bagminhash.near_duplicates(df).collect()}, sorted(r["doc_id"] for r in bagminhash.keep_one(df).collect()))
+    sent = run()
+    monkeypatch.setattr(workspace, "SENT_ROWS", -1)
+    assert run() == sent and sent[0] == line_groups(rows)
+
+
 def test_graph_search_from_medoids_finds_groups():
     rng = np.random.default_rng(2)
     v = embedding_graph.unit(np.concatenate([rng.normal(size=(600, 32)), rng.normal(size=32) + rng.normal(scale=0.1, size=(200, 32))]))
