@@ -41,7 +41,7 @@ NBEST = 3
 U = np.uint64
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Units that a worker remembers; it then starts anew.
-REMEMBER = 150_000
+REMEMBER = 100_000
 LONG = 48
 
 

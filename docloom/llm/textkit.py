@@ -91,7 +91,7 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.nd
     return out, out_offsets
 
 
-def pieces(texts: Sequence[str], most_chars: int = 1_000_000, most_texts: int = 4096) -> Iterator[slice]:
+def pieces(texts: Sequence[str], most_chars: int = 400_000, most_texts: int = 4096) -> Iterator[slice]:
     """Slices of whole texts that together hold about most_chars; a longer text stands alone."""
     begin = held = 0
     for i, t in enumerate(texts):

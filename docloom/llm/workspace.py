@@ -76,9 +76,15 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Rows of a batch that a Python worker gets; texts of a few thousand characters make up some megabytes then.
+_BATCH, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the package to the executors' Python workers, once for each Spark context."""
+    """Give the package to the executors' Python workers, once for each Spark context, and bound their batches, unless the session has a bound of its own."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":  # Spark's default
+        spark.conf.set(_BATCH, _BATCH_ROWS)
     if getattr(context, "_docloom_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]
