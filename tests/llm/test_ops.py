@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docloom.llm import bagminhash, decontam, embedding_graph, licenses, line_dedup, linking, lm_scoring, pii, quality, sentencepieces, urls, workspace
@@ -363,6 +364,37 @@ def test_edit_similarity_alone_links_lines(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()} == {i: x if first[i] == i else "" for i, x in enumerate(lines)}
 
 
+def test_short_lines_seldom_meet_by_chance(spark):
+    """Of random short lines, none of which is similar to another, few pairs share a key; with runs of three characters most lines met others."""
+    rng = random.Random(15)
+    parts = "an th in er on re ed nd ha at en es of or nt ea ti to it st io le is ou".split()
+    lines = sorted({" ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(7)) for _ in range(4000)})
+    signed = line_dedup.signatures(spark.createDataFrame(list(enumerate(lines)), "id bigint, norm string"))
+    keys = line_dedup.line_keys(signed, len(lines))
+    met = keys.groupBy("key").agg(F.count_distinct("id").alias("n")).agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0]
+    assert met < len(lines) / 4
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_line_dedup_in_passes(documents, rows, monkeypatch, most):
+    """The keys in passes give the same as all keys at once, also if many lines make keys of more runs."""
+    monkeypatch.setattr(line_dedup, "PASS_LINES", 1000)
+    monkeypatch.setattr(line_dedup, "PASSES", most)
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents).collect()}
+    assert out == line_groups(rows)
+
+
+def test_driver_collects_garbage(spark, monkeypatch):
+    """Broadcast tables don't pile up on the driver's heap over the tables that are written."""
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    full = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    monkeypatch.setattr(workspace, "COLLECT_EVERY", 2)
+    before, ws = full(), Workspace(spark, "test")
+    for _ in range(4):
+        ws.drop(ws.save(spark.range(1), "one"))
+    assert full() >= before + 2
+
+
 def test_very_long_lines(spark):
     line = " ".join(f"w{i % 97}" for i in range(40_000))
     df = spark.createDataFrame([(1, line), (2, line + " end"), (3, "other line")], "doc_id bigint, text string")
