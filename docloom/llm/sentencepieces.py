@@ -26,6 +26,7 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -41,7 +42,7 @@ NBEST = 3
 U = np.uint64
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Units that a worker remembers; it then starts anew.
-REMEMBER = 100_000
+REMEMBER = 150_000
 LONG = 48
 
 
@@ -161,16 +162,14 @@ class Encoder:
         """Segment units that are not known yet; units not seen for long are forgotten."""
         if len(self.known) > REMEMBER:
             self.known, self.aged = {}, self.known
-        known, aged, fresh = self.known, self.aged, []
-        for u in units:
-            if u not in known:
-                if u in aged:
-                    known[u] = aged[u]
-                else:
-                    fresh.append(u)
+        known, aged = self.known, self.aged
+        fresh = [u for u in units if u not in known]
+        if aged is not known:
+            known.update((u, aged[u]) for u in fresh if u in aged)
+            fresh = [u for u in fresh if u not in known]
         short = [u for u in fresh if len(u) <= LONG]
         short.sort(key=len)
-        for part in tk.pieces(short, 100_000, 1 << 14):
+        for part in tk.pieces(short, 200_000, 1 << 15):
             self._batch(short[part])
         for u in fresh:
             if len(u) > LONG:
@@ -192,17 +191,20 @@ class Encoder:
         tried: list[tuple[int, np.ndarray, int, np.ndarray]] = []  # all edges: end, units, begin, score
         for end in range(1, most + 1):
             rows = np.flatnonzero(lengths >= end)
+            e = first[rows] + end
+            upto = sums[e]
             for size in range(1, min(end, self.v.longest) + 1):
-                b, e = first[rows] + end - size, first[rows] + end
-                found = self.table.find(tk.mix((sums[e] - sums[b]) * inverse[b] + U(size * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)))
+                b = e - size
+                own, found = rows, self.table.find(tk.mix((upto - sums[b]) * inverse[b] + U(size * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)))
+                if size > 1:
+                    ok = np.flatnonzero(found >= 0)
+                    own, found = rows[ok], found[ok]
+                if not len(own):
+                    continue
                 score = self.score[found]
                 if size == 1:
                     for r in np.flatnonzero(found < 0):
                         score[r] = self.v.penalty * len(self.v.raw_bytes(units[rows[r]][end - 1]))
-                ok = score > -np.inf
-                own, score, found = rows[ok], score[ok], found[ok]
-                if not len(own):
-                    continue
                 tried.append((end, own, end - size, score))
                 total = best[own, end - size] + score
                 better = total > best[own, end]
@@ -226,7 +228,7 @@ class Encoder:
         for end, own, begin, score in tried:
             use = on_way[own, end] & (back[own, end] != begin)
             own, score = own[use], score[use]
-            np.minimum.at(loss, own, best[own, end] - best[own, begin] - score)
+            loss[own] = np.minimum(loss[own], best[own, end] - best[own, begin] - score)  # a unit stands once in each of tried
         top, loss = best[np.arange(n), lengths].tolist(), loss.tolist()
         for r, u in enumerate(units):
             own = data[4 * cuts[r] : 4 * cuts[r + 1]]
@@ -245,9 +247,9 @@ class Encoder:
     def encode(self, texts: Sequence[str], n: int = NBEST) -> Iterator[tuple[list[float], np.ndarray, list[list[Edit]], list[str]]]:
         """For each text: the scores of its n best segmentations, best first, fewer if it has fewer; the ids of the best; how each of them
         deviates from it; and the text's units."""
-        for part in tk.pieces(texts, 300_000):
+        for part in tk.pieces(texts, 1_000_000):
             cut = [units_of(t) for t in texts[part]]
-            self.learn(list(dict.fromkeys(u for units in cut for u in units)))
+            self.learn(list(dict.fromkeys(chain.from_iterable(cut))))
             for units in cut:
                 if not units:
                     yield [0.0], np.zeros(0, np.int32), [[]], units

@@ -114,20 +114,20 @@ class HashTable:
     def __init__(self, hashes: np.ndarray, values: np.ndarray) -> None:
         self.bits = max(4, int(16 * len(hashes)).bit_length())
         self.keys, self.values = np.zeros(1 << self.bits, U), np.full(1 << self.bits, -1, np.int32)
-        self.probes = 1
         for h, v in zip(hashes.tolist(), values.tolist(), strict=True):
-            at, n = h >> (64 - self.bits), 1
+            at = h >> (64 - self.bits)
             while self.values[at] >= 0:
-                at, n = (at + 1) & ((1 << self.bits) - 1), n + 1
+                at = (at + 1) & ((1 << self.bits) - 1)
             self.keys[at], self.values[at] = h, v
-            self.probes = max(self.probes, n)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Values, -1 for hashes that aren't there."""
         at = (hashes >> U(64 - self.bits)).astype(np.int64)
-        out = np.full(len(hashes), -1, np.int32)
-        for _ in range(self.probes):
-            hit = self.keys[at] == hashes
-            out[hit] = self.values[at[hit]]
-            at = (at + 1) & ((1 << self.bits) - 1)
+        out = self.values[at]
+        rest = np.flatnonzero(out >= 0)
+        rest = rest[self.keys[at[rest]] != hashes[rest]]
+        while len(rest):  # few: most places are empty or hold the hash itself
+            at[rest] = near = (at[rest] + 1) & ((1 << self.bits) - 1)
+            out[rest] = self.values[near]
+            rest = rest[(out[rest] >= 0) & (self.keys[near] != hashes[rest])]
         return out

@@ -190,6 +190,23 @@ def test_search_ends_on_repeated_characters(vocabulary, unit):
     assert len({ids for _, ids in found}) == len(found) and all(sentencepieces.decode(vocabulary, ids) == unit for _, ids in found)
 
 
+def test_units_of_many_texts_are_learned_at_once(monkeypatch):
+    """A part holds a million characters, so that the steps of the forward pass run over many units; a lookup goes on only where places are taken."""
+    encoder, rng, calls = sentencepieces.Encoder(sentencepieces.Vocabulary.load(TOKENIZER)), random.Random(4), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda units: calls.append(len(units)) or learn(units))
+    texts = [prose(rng, 500) for _ in range(200)]
+    assert sum(map(len, texts)) > 600_000 and len(list(encoder.encode(texts))) == 200 and len(calls) == 1
+
+
+def test_hash_table_of_colliding_hashes():
+    """Hashes that begin at one place, next to others, are found; those that are absent aren't."""
+    near = np.array([(7 << 56) + i for i in range(20)] + [(8 << 56) + i for i in range(20)] + [(1 << 64) - 1, (1 << 64) - 2], np.uint64)
+    table = tk.HashTable(near, np.arange(len(near)))
+    assert table.find(near).tolist() == list(range(len(near)))
+    assert (table.find(near[:40] + np.uint64(100)) == -1).all() and (table.find(np.array([0, 9 << 56], np.uint64)) == -1).all()
+
+
 # 3
 
 
