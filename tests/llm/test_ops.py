@@ -418,6 +418,41 @@ def test_very_long_lines(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()} == {1: line, 2: "", 3: "other line"}
 
 
+def test_repeats_are_accepted_by_parts_of_words(spark):
+    """A short word that goes into a line of repeated long ones costs what it is long; as a word like the longest it made the bound many times the distance, and the lines were compared as a whole."""
+    words = "ab cd internationalisation ef".split() * 60
+    more = [x for i, w in enumerate(words) for x in ((w, "ab") if i % 4 == 0 else (w,))]
+    other = [x for i, w in enumerate(words) for x in ((w, "cd", "internationalisation") if i % 4 == 0 else (w,))]
+    lines = [" ".join(x) for x in (words, more, other)]
+    assert edit_similar(lines[0], lines[1]) and not edit_similar(lines[0], lines[2])
+    rows = [(i, lines[0], x, False, min(len(lines[0]), len(x)), int(0.2 * max(len(lines[0]), len(x)))) for i, x in enumerate(lines)]
+    df = spark.createDataFrame(rows, "id bigint, na string, nb string, near boolean, least int, allowed int")
+    assert {r["id"]: r["near"] for r in line_dedup._few_words(df, "na", "nb").collect()} == {0: True, 1: True, 2: False}
+
+
+def test_letters_of_long_lines_only_are_counted(spark):
+    """To count letters costs more than to compare short lines; missing counts refuse no pair."""
+    df = spark.createDataFrame([("a" * line_dedup.LONG, "b" * (line_dedup.LONG + 1))], "x string, y string")
+    got = df.select(line_dedup._counts(F.col("x")).alias("x"), line_dedup._counts(F.col("y")).alias("y")).withColumn("fit", line_dedup._counts_fit("x", "y", F.lit(0))).first()
+    assert got["x"] is None and sum(got["y"]) == line_dedup.LONG + 1 and got["fit"]
+
+
+def test_pieces_of_long_lines(spark):
+    """Lines are cut where common runs of words begin; what is accepted by pieces or refused is what whole distances say, also if runs stand in another order."""
+    rng = random.Random(16)
+    pairs = []
+    for n in (40, 80, 200, 600) * 4:
+        words = prose(rng, n).split()
+        for share in (0.05, 0.15, 0.3, 0.5):
+            pairs.append((words, [rng.choice(words) + "x" if rng.random() < share else w for w in words]))
+        pairs.append((words, words[n // 20 :] + words[: n // 20]))
+        pairs.append((words, words[n // 2 :] + words[: n // 2]))
+    rows = [(i, " ".join(x), " ".join(y)) for i, (x, y) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "id bigint, na string, nb string").repartition(8)
+    found = {r["id"] for r in line_dedup.similar(df, "na", "nb").collect()}
+    assert found == {i for i, x, y in rows if edit_similar(x, y)} and 0 < len(found) < len(rows)
+
+
 def test_buckets_whose_first_member_is_near_none(spark):
     members = spark.createDataFrame([(1, i) for i in (0, 100, 200, 300, 400, 1000, 1001)], "key bigint, id bigint")
     labels = linking.link_buckets(Workspace(spark, "test"), members, lambda pairs: pairs, lambda a, b: (a - b).between(-1, 1))
